@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -38,17 +39,21 @@ class Saved:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.n = spark, f"{shared_folder(spark)}/understory-{uuid.uuid4().hex}", 0
-        self.paths: dict[int, str] = {}
 
     def __call__(self, df: DataFrame, parts: int | None = None) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
         (df.coalesce(parts) if parts else df).write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
         out._understory_path = path
+        self.sweep()
         return out
 
+    def sweep(self) -> None:
+        """Let Spark drop the shuffle files of plans that nothing refers to any more: what they made is written."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *frames: DataFrame) -> None:
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         for f in frames:
@@ -61,15 +66,5 @@ def map_texts(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def spread(df: DataFrame, rows: int = 4000) -> DataFrame:
-    """df itself; a scan of few large row groups is dealt by Spark's own file splits."""
-    return df
-
-
-def words_sql(text: str = "text") -> str:
-    """SQL for the number of runs of anything but ASCII white space."""
-    return f"coalesce(regexp_count({text}, '[^\\\\x20\\\\x09-\\\\x0D]+'), 0)"
-
-
 def spark_words(text: str = "text"):
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

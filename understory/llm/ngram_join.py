@@ -36,6 +36,8 @@ from .common import Saved, map_texts, table
 
 #: Sketch cells (4 bytes each, whatever the input), its pieces, nodes of a rare key, ids sent to all tasks.
 CELLS, PIECES, RARE, SEND = 1 << 20, 16, 32, 1_000_000
+#: Bits for a set's size, and for a position in it.
+BITS = 27
 _MUL = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
@@ -103,14 +105,11 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     def first(batches):
         sh, counts = Shingles(words), np.zeros(CELLS, np.int64)
         for b in batches:
-            n, k = [], []
-            for t in b.column(1).to_pylist():
-                s = sh(t)
-                n.append(len(s))
-                k.append(node(s) if len(s) else None)
-                counts += np.bincount((s >> _S32).astype(np.int64) & (CELLS - 1), minlength=CELLS) if len(s) > CELLS // 8 else 0
-                if len(s) <= CELLS // 8:
-                    np.add.at(counts, (s >> _S32).astype(np.int64) & (CELLS - 1), 1)
+            sets = [sh(t) for t in b.column(1).to_pylist()]
+            n, k = [len(s) for s in sets], [node(s) if len(s) else None for s in sets]
+            if any(n):
+                counts += np.bincount((np.concatenate(sets) >> _S32).astype(np.int64) & (CELLS - 1), minlength=CELLS)
+            del sets
             none = [None] * len(n)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], ["doc_id", "n", "k", "piece", "counts"])
         parts = [zlib.compress(x.astype("<u4").tobytes(), 1) for x in counts.reshape(PIECES, -1)]
@@ -145,33 +144,39 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
             yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in range(3)] + [pa.array([x[3] for x in out], pa.list_(pa.int64()))], ["k", "n", "common", "prefix"])
 
     index = map_texts(docs.where(F.col("text").isNotNull()).select("text"), second, "k bigint, n bigint, common bigint, prefix array<bigint>")
-    index = saved(index.groupBy("k").agg(F.first("n").alias("n"), F.first("common").alias("common"), F.first("prefix").alias("prefix")))
-    tokens = index.select("k", "n", "common", F.posexplode("prefix").alias("pos", "t"))
-
-    # round 1: a centre for each token
-    centres = tokens.groupBy("t").agg(F.max(F.struct("common", "n", "k")).alias("c"), F.count("*").alias("m")).where("m > 1").select(F.col("t").alias("_t"), F.col("c.k").alias("ck"), F.col("c.n").alias("cn"))
+    index = index.groupBy("k").agg(F.first("n").alias("n"), F.first("common").alias("common"), F.first("prefix").alias("prefix"))
+    # a token's row is three numbers: what orders centres, the set's size and the token's position share one
+    index = saved(index.select("k", "prefix", F.expr(f"shiftleft(least(common, 511), {2 * BITS}) | shiftleft(n, {BITS})").alias("base")))
+    tokens = index.select("k", F.posexplode("prefix").alias("pos", "t"), "base").select("t", "k", F.expr("base | pos").alias("place"))
+
+    # round 1: a centre for each token that several nodes have
+    centres = tokens.groupBy("t").agg(F.max_by("k", "place").alias("ck"), F.max("place").alias("cplace"), F.count("*").alias("m")).where("m > 1").withColumnRenamed("t", "_t")
+    shared = saved(tokens.join(centres, F.col("t") == F.col("_t")).select("t", "m", "k", "ck", *_unpack("place", ""), *_unpack("cplace", "c")))
+    saved.drop(index)
     near = f"100 * least(n, cn) >= {percent} * greatest(n, cn) and k <> ck"
-    pairs = saved(tokens.join(centres, F.col("t") == F.col("_t")).where(near).select(F.least("k", "ck").alias("a"), F.greatest("k", "ck").alias("b")).distinct())
+    pairs = saved(shared.where(near).select(F.least("k", "ck").alias("a"), F.greatest("k", "ck").alias("b")).distinct())
     links = saved(_verify(docs, nodes_of, pairs, words, percent, saved))
     roots = components(links, saved)
 
     # round 2: keys that hold nodes of several components
-    kr = index.join(roots.withColumnRenamed("k", "_k"), F.col("k") == F.col("_k"), "left").select("k", "n", "common", "prefix", F.coalesce("root", "k").alias("root"))
-    t2 = kr.select("k", "n", "common", "root", F.posexplode("prefix").alias("pos", "t"))
-    mixed = saved(t2.groupBy("t").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(F.col("t").alias("_t"), "m"))
-    left = saved(t2.join(mixed, F.col("t") == F.col("_t")).select("k", "n", "common", "root", "pos", "t", (F.col("m") > RARE).alias("frequent")))
+    both_roots = roots.withColumnRenamed("k", "_k")
+    kr = shared.join(both_roots, F.col("k") == F.col("_k"), "left").select("t", "m", "k", "n", "common", "pos", F.coalesce("root", "k").alias("root"))
+    mixed = saved(kr.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(F.col("t").alias("_t")))
+    left = saved(kr.join(mixed, F.col("t") == F.col("_t")).select("k", "n", "common", "root", "pos", "t", (F.col("m") > RARE).alias("frequent")))
+    saved.drop(shared)
     alone = left.where("not frequent").select(F.col("t").alias("key"), "k", "n", "common", "root", "pos")
     many = left.where("frequent").groupBy("k", "n", "common", "root").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("ts"))  # a prefix at most
     many = many.select("k", "n", "common", "root", "ts", F.posexplode("ts").alias("i", "x")).select("k", "n", "common", "root", "x", F.explode(F.expr("slice(ts, i + 2, size(ts))")).alias("y"))
     many = many.select(F.xxhash64(F.least("x.t", "y.t"), F.greatest("x.t", "y.t")).alias("key"), "k", "n", "common", "root", F.col("y.pos").alias("pos"))
     keys = saved(alone.unionByName(many))
-    hubs = keys.groupBy("key").agg(F.max(F.struct("common", "n", "root")).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(F.col("key").alias("_key"), F.col("c.root").alias("hub"))
+    hubs = keys.groupBy("key").agg(F.max_by("root", F.struct("common", "n")).alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(F.col("key").alias("_key"), "hub")
     outside = keys.join(hubs, F.col("key") == F.col("_key")).where("root <> hub").select("key", *[F.col(c).alias(f"o_{c}") for c in ("k", "n", "root", "pos")])
     o = f"((({percent} * (n + o_n)) + {top - 1}) div {top})"
     rule = f"k <> o_k and root <> o_root and 100 * least(n, o_n) >= {percent} * greatest(n, o_n) and pos <= n - {o} + 1 and o_pos <= o_n - {o} + 1"
     rest = outside.join(keys, "key").where(rule).select(F.least("k", "o_k").alias("a"), F.greatest("k", "o_k").alias("b")).distinct()
     rest = saved(rest.join(pairs, ["a", "b"], "left_anti"))
     more = saved(_verify(docs, nodes_of, rest, words, percent, saved))
+    saved.drop(keys, left, mixed, pairs, rest)
     if more.limit(1).count():
         roots = components(links.unionByName(more), saved)
 
@@ -184,6 +189,12 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _unpack(place: str, prefix: str) -> list:
+    """common, n and pos of a packed place."""
+    low = (1 << BITS) - 1
+    return [F.expr(f"shiftright({place}, {2 * BITS})").alias(f"{prefix}common"), F.expr(f"shiftright({place}, {BITS}) & {low}L").alias(f"{prefix}n"), F.expr(f"{place} & {low}L").alias(f"{prefix}pos")]
+
+
 def _verify(docs: DataFrame, nodes_of: DataFrame, pairs: DataFrame, words: int, percent: int, saved: Saved) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets reach the similarity."""
     need = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
@@ -197,7 +208,7 @@ def _verify(docs: DataFrame, nodes_of: DataFrame, pairs: DataFrame, words: int,
             out = [(k, s.tobytes()) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if len(s := sh(t)) and node(s) == k]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())], ["k", "s"])
 
-    found = saved(map_texts(texts, sets, "k bigint, s binary").groupBy("k").agg(F.first("s").alias("s")))
+    found = saved(map_texts(texts, sets, "k bigint, s binary"))  # a repeated row gives its set, and then its links, again
     both = pairs.join(found.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a").join(found.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
 
     def check(batches):
