@@ -7,11 +7,11 @@ distance of an indexed half from its centroid. Every vector is indexed; entries
 
 Two rounds. The first takes cells until they hold ``first_entries`` entries, which gives each query a k-th score to
 beat. The second goes on through the heap until the summed bound can't reach that score. So the search stops early
-where the data have structure, and is exact in any case: the recall is 1 but for nothing.
+where the data have structure, and is exact in any case: the recall is 1.
 
-Entries stand in blocks of at most ``BLOCK`` vectors of a cell, so that a cell with a third of all vectors is spread;
-queries that need a block come in blocks as well. Equal vectors are stored once with their k + 1 smallest ids, as no
-result can use more of them.
+Entries stand in parts of at most ``PART_BYTES``: small cells share a part, a large cell has several. The queries that
+need a part come to it in blocks of about ``QUERIES``, each with the cells it wants, and a block of queries meets a cell
+in one matrix product. Of equal vectors the k + 1 smallest ids are kept, as no result can use more of them.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take
 no part; a query never finds its own row; ties go to the smaller id; with fewer candidates than k all are given; an
@@ -21,17 +21,18 @@ empty table gives an empty table; only the two named columns are read.
 from __future__ import annotations
 
 import heapq
-import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Saved, table
 
-SAMPLE, BLOCK, QUERIES, FIRST, SALTS = 10_000, 2_048, 1_024, 2_000, 64
+#: Vectors for the codebooks, queries of a block, entries of the first round, salts of equal vectors.
+SAMPLE, QUERIES, FIRST, SALTS = 10_000, 512, 2_000, 64
+#: Bytes of a part's vectors; entries scored in one product; parts up to which their query counts go to all tasks.
+PART_BYTES, CHUNK, SEND = 32 << 20, 4_096, 1_000_000
 
 
 def codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -67,51 +68,100 @@ def traverse(a: np.ndarray, b: np.ndarray, counts: dict[int, int], width: int):
 
 
 def _matrix(col, d: int) -> np.ndarray:
-    return np.array(col.to_pylist(), np.float64).reshape(-1, d)
+    return np.asarray(col.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, d)
+
+
+def _parts(counts: dict[int, int], room: int) -> tuple[dict[int, tuple[int, int]], int]:
+    """(first part, number of parts) of each cell, and the number of parts; a part has about ``room`` entries at most."""
+    out, n, used = {}, 0, 0
+    for c, m in sorted(counts.items()):
+        if used and used + m > room:
+            n, used = n + 1, 0
+        out[c] = n, -(-m // room)
+        n, used = (n, used + m) if m <= room else (n + out[c][1], 0)
+    return out, n + (used > 0)
+
+
+def nearest(q: np.ndarray, qids: np.ndarray, wanted: list[list[int]], e: np.ndarray, ids: np.ndarray, cell: np.ndarray, k: int):
+    """(query's place, entry's place, score) of the k best entries for each query among the cells it wants."""
+    width = 2 * k + 1  # k, as many ties at the edge as equal vectors there can be, and the query itself
+    best, at = np.full((len(q), width), -np.inf), np.full((len(q), width), -1)
+    order = np.argsort(cell, kind="stable")
+    cells, starts = np.unique(cell[order], return_index=True)
+    places = dict(zip(cells.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(cell)])))
+    who = np.repeat(np.arange(len(q)), [len(x) for x in wanted])
+    what = np.fromiter((c for x in wanted for c in x), np.int64, len(who))
+    turn = np.argsort(what, kind="stable")
+    who, (names, firsts) = who[turn], np.unique(what[turn], return_index=True)
+    for c, lo, hi in zip(names.tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(who)]):
+        rows = who[lo:hi]
+        start, end = places.get(c, (0, 0))
+        for i in range(start, end, CHUNK):
+            own = order[i : min(end, i + CHUNK)]
+            s = q[rows] @ e[own].T
+            better = s.max(1) >= best[rows].min(1) - 1e-9
+            r, s = rows[better], s[better]
+            if len(own) > width:
+                pick = np.argpartition(s, len(own) - width, axis=1)[:, -width:]
+                s, own = np.take_along_axis(s, pick, 1), own[pick]
+            else:
+                own = np.broadcast_to(own, s.shape)
+            s, own = np.concatenate([best[r], s], 1), np.concatenate([at[r], own], 1)
+            pick = np.argpartition(s, s.shape[1] - width, axis=1)[:, -width:]
+            best[r], at[r] = np.take_along_axis(s, pick, 1), np.take_along_axis(own, pick, 1)
+    found = []
+    for i in range(0, len(q), 64):  # the few that are left, in extended precision
+        j, x = at[i : i + 64], q[i : i + 64].astype(np.longdouble)
+        s = (x[:, None, :] * e[j]).sum(2).astype(np.float64)
+        s[(j < 0) | (ids[j] == qids[i : i + 64, None])] = -np.inf
+        first = np.lexsort((ids[j], -s), axis=1)[:, :k]
+        s, j = np.take_along_axis(s, first, 1), np.take_along_axis(j, first, 1)
+        on = s > -np.inf
+        found.append((np.repeat(np.arange(i, i + len(j)), on.sum(1)), j[on], s[on]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", cells: int | None = None, first_entries: int = FIRST) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k largest inner products of each query. is_query: a condition on id_col."""
+    """(query_id, rank, vec_id, score): the k largest inner products of each query. is_query: a condition on ``id``."""
     spark, saved = vectors.sparkSession, Saved(vectors.sparkSession)
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     fine = "id is not null and v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)"
-    v = v.where(fine).where(F.size("v") == F.lit(_dimension(v.where(fine))))
-    every = saved(v)
-    d = (every.select(F.size("v")).first() or (0,))[0]
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    v = v.where(fine)
+    d = _dimension(v)
     if not d:
-        return empty
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    every = v.where(F.size("v") == d)
     n = every.count()
     size = cells or max(2, min(64, round((n / 200) ** 0.5)))
     picked = every.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
-    x = _matrix(picked.column(0), d)
+    x = _matrix(picked.column(0).combine_chunks(), d)
     x = x[np.lexsort(x.T)]
     h = d // 2
     c1, c2 = codebook(x[:, :h], size), codebook(x[:, h:], size)
-    # equal vectors once, with the k + 1 smallest ids; in two steps, as one vector may be a third of all
-    key = F.xxhash64("v")
-    small = Window.partitionBy("_key", "v", "_salt").orderBy("id")
-    few = every.withColumn("_key", key).withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).withColumn("_r", F.row_number().over(small)).where(F.col("_r") <= k + 1)
-    few = few.withColumn("_r", F.row_number().over(Window.partitionBy("_key", "v").orderBy("id"))).where(F.col("_r") <= k + 1)
-    once = few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    # of equal vectors the k + 1 smallest ids; in two steps, as one vector may be a third of all
+    small = Window.partitionBy("v", "_salt").orderBy("id")
+    few = every.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).withColumn("_r", F.dense_rank().over(small)).where(F.col("_r") <= k + 1)
+    once = few.groupBy("v").agg(F.collect_set("id").alias("ids")).select("v", F.explode(F.slice(F.array_sort("ids"), 1, k + 1)).alias("id"))
+    single = dict(vectors.select(vec_col).dtypes)[vec_col] == "array<float>"
+    kind = np.float32 if single else np.float64  # as stored: nothing is rounded
 
     def place(batches):
         for b in batches:
             if b.num_rows:
                 x = _matrix(b.column(0), d)
                 (j1, r1), (j2, r2) = assign(x[:, :h], c1), assign(x[:, h:], c2)
-                yield pa.RecordBatch.from_arrays([pa.array(j1 * len(c2) + j2, pa.int32()), pa.array(r1), pa.array(r2), pa.array([r.tobytes() for r in x], pa.binary()), b.column(1)], ["cell", "r1", "r2", "v", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(j1 * len(c2) + j2, pa.int32()), pa.array(r1), pa.array(r2), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()), b.column(1)], ["cell", "r1", "r2", "v", "id"])
 
-    index = saved(once.mapInArrow(place, "cell int, r1 double, r2 double, v binary, ids array<bigint>"))
+    index = saved(once.mapInArrow(place, "cell int, r1 double, r2 double, v binary, id bigint"))
     stats = index.groupBy("cell").agg(F.count("*").alias("n"), F.max("r1").alias("r1"), F.max("r2").alias("r2")).collect()  # cells: size^2 at most
     counts = {r.cell: r.n for r in stats}
-    blocks = {c: -(-m // BLOCK) for c, m in counts.items()}
     w = len(c2)
     rad1, rad2 = np.zeros(len(c1)), np.zeros(w)
     for r in stats:
         rad1[r.cell // w], rad2[r.cell % w] = max(rad1[r.cell // w], r.r1), max(rad2[r.cell % w], r.r2)
-    n_blocks = F.element_at(F.create_map(*[F.lit(x) for p in blocks.items() for x in p]), F.col("cell"))
-    entries = saved(index.select("cell", F.pmod(F.xxhash64("v"), n_blocks).cast("int").alias("block"), "v", "ids"))
+    parts, n_parts = _parts(counts, max(1, PART_BYTES // (8 * d)))
+    where = spark.createDataFrame([(c, *p) for c, p in parts.items()], "cell int, start int, parts int")
+    entries = index.join(F.broadcast(where), "cell").select((F.col("start") + F.pmod(F.xxhash64("v", "id"), F.col("parts"))).cast("int").alias("part"), "cell", "v", "id")
     queries = every.where(is_query).select(F.col("id").alias("qid"), "v").dropDuplicates(["qid", "v"])
 
     def probes(first: bool):
@@ -124,59 +174,53 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
                 u1 = q1 @ c1.T + np.sqrt((q1 * q1).sum(1))[:, None] * rad1[None, :]
                 u2 = q2 @ c2.T + np.sqrt((q2 * q2).sum(1))[:, None] * rad2[None, :]
                 beat = None if first else b.column(2).to_pylist()
-                qid, cell, block, vec = [], [], [], []
+                qid, part, wanted, vec = [], [], [], []
                 for i, query in enumerate(b.column(0).to_pylist()):
-                    got, raw = 0, q[i].tobytes()
+                    got, mine = 0, {}
                     for c, bound in traverse(u1[i], u2[i], counts, w):
                         if first and got >= first_entries or not first and beat[i] is not None and bound < beat[i] - 1e-9:
                             break
+                        if first or got >= first_entries:
+                            start, m = parts[c]
+                            for p in range(start, start + m):
+                                mine.setdefault(p, []).append(c)
                         got += counts[c]
-                        if first or got - counts[c] >= first_entries:
-                            for j in range(blocks[c]):
-                                qid.append(query), cell.append(c), block.append(j), vec.append(raw)
-                yield pa.RecordBatch.from_arrays([pa.array(qid, pa.int64()), pa.array(cell, pa.int32()), pa.array(block, pa.int32()), pa.array(vec, pa.binary())], ["qid", "cell", "block", "q"])
+                    qid += [query] * len(mine)
+                    vec += [q[i].tobytes()] * len(mine)
+                    part += mine.keys()
+                    wanted += mine.values()
+                yield pa.RecordBatch.from_arrays([pa.array(qid, pa.int64()), pa.array(part, pa.int32()), pa.array(wanted, pa.list_(pa.int32())), pa.array(vec, pa.binary())], ["qid", "part", "cells", "q"])
 
         return run
 
-    def rerank(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """The k best entries of a block for each query of a block of queries."""
-        if not len(left) or not len(right):
-            return pd.DataFrame({"qid": [], "vec_id": [], "score": []})
-        e = np.frombuffer(b"".join(right["v"]), np.float64).reshape(-1, d)
-        q = np.frombuffer(b"".join(left["q"]), np.float64).reshape(-1, d)
-        ids = [np.asarray(x) for x in right["ids"]]
-        low = np.array([x[0] for x in ids])
-        scores = np.stack([(e * r).sum(1) for r in q]) if len(q) * len(e) < 4096 else q @ e.T
-        out = []
-        for i, query in enumerate(left["qid"]):
-            s = scores[i]
-            m = min(len(s), k + 1)
-            edge = np.partition(s, len(s) - m)[len(s) - m] - 1e-9
-            near = np.flatnonzero(s >= edge)
-            exact = [math.fsum(map(float.__mul__, q[i].tolist(), e[j].tolist())) for j in near]
-            best = sorted((-x, int(t)) for x, j in zip(exact, near) for t in ids[j] if t != query)[:k]
-            out += [(query, t, -x) for x, t in best]
-        del low
-        return pd.DataFrame(out, columns=["qid", "vec_id", "score"])
+    def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The k best entries of a part for each query of a block of queries."""
+        qids, ids = left["qid"].to_numpy(), right["id"].to_numpy()
+        i, j, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if len(qids) and len(ids):
+            q = np.frombuffer(b"".join(left["q"].to_pylist()), np.float64).reshape(-1, d)
+            e = np.frombuffer(b"".join(right["v"].to_pylist()), kind).reshape(-1, d).astype(np.float64)
+            i, j, s = nearest(q, qids, left["cells"].to_pylist(), e, ids, right["cell"].to_numpy(), k)
+        return pa.table([pa.array(qids[i], pa.int64()), pa.array(ids[j], pa.int64()), pa.array(s, pa.float64())], ["qid", "vec_id", "score"])
 
     def found(todo: DataFrame) -> DataFrame:
-        todo = todo.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(n_query_blocks)).cast("int"))
-        dealt = entries.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))))
-        keys = ["cell", "block", "_qb"]
-        near = todo.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(rerank, "qid long, vec_id long, score double")
-        return near
+        todo = saved(todo)
+        blocks = todo.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+        blocks = F.broadcast(blocks) if n_parts <= SEND else blocks
+        asked = todo.join(blocks, "part").select("part", F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int").alias("block"), "qid", "cells", "q")
+        dealt = entries.join(blocks, "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "cell", "v", "id")
+        return asked.groupBy("part", "block").cogroup(dealt.groupBy("part", "block")).applyInArrow(rerank, "qid long, vec_id long, score double")
 
-    n_query_blocks = max(1, -(-queries.count() // QUERIES))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
 
     def top(df: DataFrame) -> DataFrame:
         return df.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
-    one = saved(top(found(queries.mapInArrow(probes(True), "qid long, cell int, block int, q binary"))))
+    one = saved(top(found(queries.mapInArrow(probes(True), "qid long, part int, cells array<int>, q binary"))))
     beat = one.where(F.col("rank") == k).select(F.col("qid").alias("_q"), F.col("score").alias("beat"))
     rest = queries.join(beat, queries["qid"] == beat["_q"], "left").select("qid", "v", "beat")
-    two = found(rest.mapInArrow(probes(False), "qid long, cell int, block int, q binary"))
-    out = top(one.select("qid", "vec_id", "score").unionByName(top(two).select("qid", "vec_id", "score")))
+    two = found(rest.mapInArrow(probes(False), "qid long, part int, cells array<int>, q binary"))
+    out = top(one.select("qid", "vec_id", "score").unionByName(two))
     return out.select(F.col("qid").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
