@@ -36,6 +36,8 @@ from .common import Saved, map_texts, table
 
 #: Sketch cells (4 bytes each, whatever the input), its pieces, nodes of a rare key, ids sent to all tasks.
 CELLS, PIECES, RARE, SEND = 1 << 20, 16, 32, 1_000_000
+#: Word hashes kept by a Python worker.
+KNOWN = 100_000
 #: Bits for a set's size, and for a position in it.
 BITS = 27
 _MUL = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
@@ -51,7 +53,7 @@ class Shingles:
     def __call__(self, text: str | None) -> np.ndarray:
         ws = (text or "").encode().lower().split()  # bytes: ASCII letters and white space only
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > KNOWN:
             known.clear()
         try:
             a = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
