@@ -31,8 +31,8 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 _SPLIT = re.compile(f"[{_SPACE}]+")
 _ODD = re.compile("[\x1c-\x1f]")
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
-#: Finished words and pairs of tokens kept by a Python worker, characters of text whose new words share a trie.
-KEEP, FITS, BLOCK = 300_000, 500_000, 2 << 20
+#: Finished words and pairs of tokens kept by a Python worker, words kept between tasks, characters of text whose new words share a trie.
+KEEP, FITS, IDLE, BLOCK = 300_000, 500_000, 100_000, 2 << 20
 ENDS = [bytes([b]) for b in range(256)]
 
 
@@ -251,6 +251,9 @@ def bpe_encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
         for b in batches:
             ids = bpe.encode([t or "" for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.string())], ["id", "ids", "decoded"])
+        if len(bpe.ids) > IDLE:
+            bpe.ids.clear()
+        bpe.fits.clear()
 
     return map_texts(df.select(id_col, text_col), run, f"id {dict(df.dtypes)[id_col]}, ids binary, decoded string").withColumnRenamed("id", id_col)
 
