@@ -15,6 +15,8 @@ from understory.llm.common import Saved, table
 
 #: Near duplicates: word shingles of five, similarity 0.8. Rows up to which ids go to all tasks.
 WORDS, PERCENT, SEND = 5, 80, 1_000_000
+#: Boilerplate: lines on over this share of a source's pages (and on line_dedup.MIN_PAGES of them).
+SHARE = 0.01
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that too many pages of their source hold leave; n_chars follows the text."""
-    out = line_dedup.line_dedup(docs)
+    out = line_dedup.line_dedup(docs, max_ratio=SHARE)
     changed = F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", changed).select(*docs.columns)
 

@@ -27,3 +27,13 @@ def test_line_dedup_sql(spark, sf):
     c, p = duckdb.connect(), f"{sf}/documents.parquet"
     c.execute(f"create view documents as select * from '{p + '/*.parquet' if os.path.isdir(p) else p}'")
     assert sorted(c.execute(line_dedup.OP4_SQL).fetchall(), key=str) == sorted((tuple(r) for r in line_dedup.op4_line_dedup(spark, sf).collect()), key=str)
+
+
+def test_rare_boilerplate(spark):
+    """A line on 3 per cent of a source's pages leaves; one on four pages may be chance and stays."""
+    import corpus_pipeline as p
+
+    rows = [(i, "\n".join([f"body {i}", *(["rare foot"] if i < 6 else []), *(["chance"] if 10 <= i < 14 else [])]), "en", "a", 0) for i in range(200)]
+    out = {r.doc_id: r for r in p.drop_boilerplate(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "").collect()}
+    assert all(out[i].text == f"body {i}" and out[i].n_chars == len(out[i].text) for i in range(6))
+    assert all(out[i].text == f"body {i}\nchance" for i in range(10, 14)) and len(out) == 200
