@@ -208,6 +208,13 @@ def test_html(spark):
     assert html_extract.threshold([0, 0, 10, 10]) == 5 and sum(html_extract.smooth([0, 0, 3, 0, 0])) == pytest.approx(3, abs=0.3)
 
 
+def test_html_of_divs():
+    body, more = "".join(f"<p>{'word ' * 60}{i}</p>" for i in range(10)), "<div class=more><p>closing paragraph</p></div>"
+    page = f"<div class=menu><a>m</a></div><div id=c><h1>Title</h1><div class=body>{body}</div>{more}</div><div><div><p>{'late ' * 20}</p></div></div>"
+    lines = html_extract.extract(page).split("\n")
+    assert lines[0] == "Title" and lines[-2:] == ["closing paragraph", ("late " * 20).strip()] and len(lines) == 13
+
+
 def test_quality(spark):
     rng = np.random.default_rng(5)
     vocab = [np.array([f"{g}{i}" for i in range(30)]) for g in "abc"]

@@ -3,8 +3,9 @@
 The standard library's parser streams a page's events; block elements cut it into lines, each with its characters and
 its tags. The ratios of the lines that no boilerplate element holds are smoothed with a Gaussian and split into two
 clusters by an iterated threshold; the lines of the upper cluster mark the content region. The region is then closed
-under the page's structure: the outermost article or main elements that hold marked lines, else the deepest element
-with nearly all marked text, and every line of it is given, so that short paragraphs and headings aren't lost.
+under the page's structure: the outermost article or main elements that hold marked lines, and every line of it is
+given, so that short paragraphs and headings aren't lost. A page without them gives every line that no boilerplate
+element holds: there a title or a closing paragraph may stand in any element, and its ratio doesn't tell it.
 
 Defined results: a null, empty or text-free page gives the empty text; unclosed and crossed tags are tolerated; pages
 are read whole; repeated rows repeat; an empty table gives an empty table; only the named columns are read.
@@ -167,14 +168,6 @@ def extract(html: str | None, sigma: float = 1.0) -> str:
                 roots.add(own[-1])
         if roots:
             break
-    if not roots:
-        weight: dict[int, int] = {}
-        for i in marked:
-            for e in chains[i]:
-                weight[e] = weight.get(e, 0) + len(lines[i][0])
-        most = sum(len(lines[i][0]) for i in marked)
-        inside = [e for e, w in weight.items() if w >= 0.9 * most and elements[e][0] in SCOPE]
-        roots = {max(inside)} if inside else set()
     return "\n".join(t for (t, _, _), c in zip(lines, chains) if not roots or roots & set(c))
 
 
