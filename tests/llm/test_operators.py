@@ -215,6 +215,21 @@ def test_html_of_divs():
     assert lines[0] == "Title" and lines[-2:] == ["closing paragraph", ("late " * 20).strip()] and len(lines) == 13
 
 
+def test_html_names():
+    """A class or id drops only as a whole name, and no element with article, main or most of the text."""
+    text = "<p>" + "word " * 30 + "</p>"
+    for name in ("layout has-sidebar", "no-sidebar", "content-with-sidebar", "nav-open", "post-comments-open", "sidebar", "menu", "widget"):
+        for inner in (f"<article>{text}</article>", f"<main>{text}</main>", text):
+            assert html_extract.extract(f"<div class='{name}'>{inner}</div><div>rest</div>").startswith("word word"), (name, inner)
+    for name in ("cookie-recipes", "social-policy"):
+        assert html_extract.extract(f"<article>{text}<div id={name}>topic</div></article>").endswith("\ntopic")
+    for name in ("sidebar", "main-nav", "site-footer", "cookie-notice", "comment-list", "related-posts", "footer__links", "x ad", "side-bar", "side_bar"):
+        assert html_extract.extract(f"<article>{text}<div class='{name}'>gone<br>x</div>end</article>").endswith("\nend")
+        assert "gone" not in html_extract.extract(f"<article>{text}<div class='{name}'>gone</div></article>")
+    assert html_extract.extract(f"<article>{text}<p>a <span class=ad>gone<b>x</b></span>b</p></article>").endswith("\na b")
+    assert html_extract.extract(f"<div class=ad>{text}</div><article>short</article>") == "short"
+
+
 def test_quality(spark):
     rng = np.random.default_rng(5)
     vocab = [np.array([f"{g}{i}" for i in range(30)]) for g in "abc"]

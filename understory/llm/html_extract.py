@@ -27,36 +27,87 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
 DROP = frozenset("script style noscript template iframe object embed svg canvas audio video head title nav footer aside form button select textarea menu dialog input".split())
 SCOPE = frozenset("article main section div body html nav footer aside form header table ul ol dl blockquote figure".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|sponsored|sponsors?|promos?|promotions?|banners?|nav|navbar|navigation|menus?|sidebars?|side-?bar|footer|breadcrumbs?|comments?|disqus|replies|reply|respond|cookies?|cookie-?\w*|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscribe|subscription|signup|sign-?in|login|share|sharing|social|related|recommended|widgets?|toolbar|pagination|pager|skip-?link|contentinfo|complementary)(?=$|[\s_-])",
-    re.I,
-)
-_HEADERS = re.compile(r"(?:^|[\s_-])(?:masthead|header|topbar|site-?header|page-?header)(?=$|[\s_-])", re.I)
+#: A class or id names boilerplate if it is such a name as a whole, alone or with words of place and form around it
+#: (main-nav, comment-list, footer__links). Any further word makes it another name: has-sidebar, cookie-recipes.
+_NAME = r"ads?|adverts?|advertisements?|adsense|sponsored|sponsors?|promos?|promotions?|banners?|nav|navbar|navigation|menus?|sidebars?|side[_-]?bar|footer|breadcrumbs?|comments?|disqus|replies|reply|respond|cookies?|cookie(?:bar|banner|consent|notice)|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscribe|subscription|signup|sign-?in|login|share|sharing|social|related|recommended|widgets?|toolbar|pagination|pager|skip-?link|contentinfo|complementary"
+_HEADER = r"masthead|header|topbar"
+_PLACE = r"(?:site|page|main|global|primary|secondary|top|bottom|left|right|upper|lower|inner|outer|mobile|desktop|sticky|fixed|list|lists|items?|links?|buttons?|icons?|area|box|block|container|wrapper|wrap|inner|bar|row|unit|slot|section|form|title|heading|text|message|thread|posts?|entry|articles?|stories|media|thumb|\d+)"
+_NAMES = re.compile(rf"(?:{_PLACE}[_-]+)*(?:{_NAME})(?:[_-]+(?:{_NAME}|{_PLACE}))*", re.I)
+_HEADERS = re.compile(rf"(?:(?:site|page|main|global|top)[_-]+)*(?:{_HEADER})(?:[_-]+(?:inner|outer|container|wrapper|wrap|bar|row|top|bottom))*", re.I)
+#: Marks a tag among the events.
+TAG = object()
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def named(value: str, names: re.Pattern) -> bool:
+    return any(names.fullmatch(v) for v in value.split())
+
+
 class Lines(HTMLParser):
-    """lines: [text parts, tags seen, elements around it] for each line outside dropped elements, in page order."""
+    """Events outside dropped elements, in page order. Whether an element that only a class or id names is dropped is
+    known at the page's end: not if it holds article, main or most of the page's text (beside an article or main
+    with text, most doesn't count: that text is the page's). ``lines`` then gives
+    (text, tags seen, element around it) for each line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool]] = []  # tag, element number, dropped
         self.elements: list[tuple[str, int]] = []  # tag, parent's number
-        self.lines: list[tuple[str, int, int]] = []
-        self.parts: list[str] = []
-        self.tags = 0
+        self.named: set[int] = set()  # elements with a boilerplate class or id
+        self.events: list[tuple[object, int]] = []  # text, TAG or None for a line's end; element
 
-    def flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        if text:
-            self.lines.append((text, self.tags, self.stack[-1][1] if self.stack else -1))
-            self.tags = 0
-        self.parts.clear()
+    def event(self, kind, always: bool = False) -> None:
+        self.events.append((kind, -1 if always or not self.stack else self.stack[-1][1]))
 
     def dropped(self) -> bool:
         return bool(self.stack) and self.stack[-1][2]
 
+    def lines(self) -> list[tuple[str, int, int]]:
+        out = self.left_out()
+        lines: list[tuple[str, int, int]] = []
+        parts: list[str] = []
+        tags = 0
+        for kind, e in self.events:
+            if e in out:
+                continue
+            if kind is TAG:
+                tags += 1
+            elif kind is not None:
+                parts.append(kind)
+            else:
+                text = " ".join("".join(parts).split())
+                if text:
+                    lines.append((text, tags, e))
+                    tags = 0
+                parts.clear()
+        return lines
+
+    def left_out(self) -> set[int]:
+        """Numbers of the elements in one that its name drops. A parent's number is smaller than its children's."""
+        if not self.named:
+            return set()
+        n = len(self.elements)
+        size, holds = [0] * n, [t in ("article", "main") for t, _ in self.elements]
+        for kind, e in self.events:
+            if e >= 0 and kind is not None and kind is not TAG:
+                size[e] += len("".join(kind.split()))
+        total = sum(size) + sum(len("".join(k.split())) for k, e in self.events if e < 0 and k is not None and k is not TAG)
+        within = [t in ("article", "main") for t, _ in self.elements]  # article or main, or in one
+        for e in range(n):
+            within[e] |= self.elements[e][1] >= 0 and within[self.elements[e][1]]
+        anywhere = not any(size[e] for e in range(n) if within[e])  # no article or main with text: it may be in any element
+        for e in range(n - 1, -1, -1):
+            if (up := self.elements[e][1]) >= 0:
+                size[up] += size[e]
+                holds[up] |= holds[e]
+        out: set[int] = set()
+        for e in range(n):
+            if self.elements[e][1] in out or e in self.named and not holds[e] and not ((anywhere or within[e]) and 2 * size[e] > total):
+                out.add(e)
+        return out
+
     def boilerplate(self, tag: str, attrs: list) -> bool:
+        """Dropped whatever it holds: by tag, role or because it is hidden. A class or id only marks the element."""
         if tag in DROP:
             return True
         inside = any(t in ("article", "main") for t, _, _ in self.stack)
@@ -67,19 +118,22 @@ class Lines(HTMLParser):
         for k, v in attrs:
             if k == "hidden" or k == "aria-hidden" and v == "true":
                 return True
-            if v and (k in ("class", "id", "role") and (_NAMES.search(v) or not inside and _HEADERS.search(v)) or k == "style" and _HIDDEN.search(v)):
+            if v and (k == "role" and named(v, _NAMES) or k == "style" and _HIDDEN.search(v)):
                 return True
+        if any(v and k in ("class", "id") and (named(v, _NAMES) or not inside and named(v, _HEADERS)) for k, v in attrs):
+            self.named.add(len(self.elements) - 1)
         return False
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             if not self.dropped():
-                self.flush()
+                self.event(None)
             if tag != "hr" and any(t == "p" for t, _, _ in self.stack[-12:]):
                 self.close("p")
         elif tag == "br":
-            self.parts.append(" ")
-        self.tags += not self.dropped()
+            self.event(" ", always=True)
+        if not self.dropped():
+            self.event(TAG)
         if tag in VOID:
             return
         self.elements.append((tag, self.stack[-1][1] if self.stack else -1))
@@ -94,7 +148,7 @@ class Lines(HTMLParser):
         if tag is None:
             super().close()
             if not self.dropped():
-                self.flush()
+                self.event(None)
             return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
@@ -105,15 +159,15 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         if not self.dropped():
-            self.tags += 1
+            self.event(TAG)
             if tag in BLOCK:
-                self.flush()
+                self.event(None)
         if tag not in VOID:
             self.close(tag)
 
     def handle_data(self, data):
         if not self.dropped():
-            self.parts.append(data)
+            self.event(data)
 
 
 def smooth(xs: list[float], sigma: float = 1.0) -> list[float]:
@@ -146,7 +200,7 @@ def extract(html: str | None, sigma: float = 1.0) -> str:
     parser = Lines()
     parser.feed(html or "")
     parser.close()
-    lines, elements = parser.lines, parser.elements
+    lines, elements = parser.lines(), parser.elements
     if not lines:
         return ""
     ratios = smooth([len(t) / max(1, n) for t, n, _ in lines], sigma)
