@@ -104,6 +104,20 @@ def test_secrets(spark):
     assert secrets.find_secrets(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("letters,signs", [("0123456789abcdef", ""), ("a-z", ""), ("a-z", "-_"), ("A-Z", ""), ("a-zA-Z", ""), ("a-zA-Z", "+/"), ("a-zA-Z", "-_")])
+def test_secrets_recall(letters, signs):
+    """Random keys of each class; those of letters alone are on the allow-list."""
+    import random
+    import string
+
+    rng = random.Random(8)
+    alphabet = {"a-z": string.ascii_lowercase + string.digits, "A-Z": string.ascii_uppercase + string.digits, "a-zA-Z": string.ascii_letters + string.digits}.get(letters, letters) + signs
+    for n in (20, 24, 32, 40, 64):
+        keys = ["".join(rng.choices(alphabet, k=n)) for _ in range(1500)]
+        keys = [k for k in keys if not any(p.fullmatch(k) for p in secrets.ALLOW) and (not signs or any(c in k for c in signs))]
+        assert sum(bool(secrets.entropy_spans(k, [])) for k in keys) > 0.98 * len(keys)
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(2)
     text = lambda bad: " ".join([*rng.choice(WORDS, 30), *(["nasty", f"grumph{rng.choice(list('abcdefgh'))}"] if bad else [])])
