@@ -39,3 +39,11 @@ def test_entry(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0
+
+
+def test_whole_voxels(spark, sf):
+    """No voxel is left out of the queries without SQL and of the whole ones."""
+    n = core.voxels(spark, sf).count()
+    assert n > core.voxels(spark, sf, gaps=True).count()
+    assert core.QUERIES["geometry_features"](spark, sf).count() == core.QUERIES["point_density_all"](spark, sf).count() == n
+    assert all(core.ORACLE_SQL[f"{q}_all"] != core.ORACLE_SQL[q] for q in ("radius_edges", "point_density", "knn_points", "components", "edge_weights", "knn_vectors", "species_lookup_join", "owned_rows", "merge_fill", "merge_intersect"))

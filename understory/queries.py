@@ -168,30 +168,35 @@ def quantile_filter(spark, sf_dir):
 VOX_SQL = "vox as (select floor(X / 5)::bigint as vx, floor(Y / 5)::bigint as vy, floor((Z + 1) / 2)::bigint as vz, round(avg(X) + 3.3e-9, 6) as X, round(avg(Y) + 3.3e-9, 6) as Y, round(avg(Z) + 3.3e-9, 6) as Z, round(avg(prob) + 3.3e-9, 6) as f from pts group by all), v as (select (vx * 1000000 + vy * 1000 + vz) as id, * from vox where (vx * 7 + vy * 3 + vz) % 4 <> 0)"
 
 
-def voxels(spark, sf_dir) -> DataFrame:
+#: The same without gaps. Queries whose SQL is fixed on the gap pattern or another part have a whole one beside them, ..._all.
+VOX_ALL_SQL = VOX_SQL.replace(" where (vx * 7 + vy * 3 + vz) % 4 <> 0", "")
+
+
+def voxels(spark, sf_dir, gaps: bool = False) -> DataFrame:
     p = src.pts(spark, sf_dir)
     k = {"vx": fn.cell(F.col("X"), 5.0), "vy": fn.cell(F.col("Y"), 5.0), "vz": fn.cell(F.col("Z"), 2.0, -1.0)}
     v = p.withColumns(k).groupBy(*k).agg(*[F.round(F.avg(c) + 3.3e-9, 6).alias(n) for c, n in (("X", "X"), ("Y", "Y"), ("Z", "Z"), ("prob", "f"))])
-    return v.withColumn("id", F.col("vx") * 1_000_000 + F.col("vy") * 1000 + F.col("vz")).where((F.col("vx") * 7 + F.col("vy") * 3 + F.col("vz")) % 4 != 0)
+    v = v.withColumn("id", F.col("vx") * 1_000_000 + F.col("vy") * 1000 + F.col("vz"))
+    return v.where((F.col("vx") * 7 + F.col("vy") * 3 + F.col("vz")) % 4 != 0) if gaps else v
 
 
 D2 = "(a.X - b.X) * (a.X - b.X) + (a.Y - b.Y) * (a.Y - b.Y) + (a.Z - b.Z) * (a.Z - b.Z)"
 
 
 @query("radius_edges", f"{PTS}, {VOX_SQL} select a.id as src, b.id as dst, round(sqrt({D2}), 6) as d from v a join v b on a.id <> b.id and {D2} <= 25 + 1e-12")
-def radius_edges(spark, sf_dir):
-    v = voxels(spark, sf_dir)
+def radius_edges(spark, sf_dir, gaps=True):
+    v = voxels(spark, sf_dir, gaps)
     return neighbors.radius_join(v, v, 5.0).select("src", "dst", *r6("d"))
 
 
 @query("point_density", f"{PTS}, {VOX_SQL} select a.id, count(*) as density from v a join v b on (a.X - b.X) * (a.X - b.X) + (a.Y - b.Y) * (a.Y - b.Y) <= 16 + 1e-12 group by all")
-def point_density(spark, sf_dir):
-    return neighbors.density(voxels(spark, sf_dir), 4.0)
+def point_density(spark, sf_dir, gaps=True):
+    return neighbors.density(voxels(spark, sf_dir, gaps), 4.0)
 
 
 @query("knn_points", f"{PTS}, {VOX_SQL}, d as (select a.id as src, b.id as dst, {D2} as d2, row_number() over (partition by a.id order by sqrt({D2}), b.id) as rank from v a, v b) select src, rank::integer as rank, dst, round(sqrt(d2), 6) as d from d where rank <= 5")
-def knn_points(spark, sf_dir):
-    return neighbors.knn(voxels(spark, sf_dir), 5, size=4.0).select("src", "rank", "dst", *r6("d"))
+def knn_points(spark, sf_dir, gaps=True):
+    return neighbors.knn(voxels(spark, sf_dir, gaps), 5, size=4.0).select("src", "rank", "dst", *r6("d"))
 
 
 @query("knn_vectors", "with d as (select a.vec_id as src, b.vec_id as dst, array_distance(a.embedding::double[64], b.embedding::double[64]) as d from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id < 20), r as (select *, row_number() over (partition by src order by d, dst) as rank from d) select src, rank::integer as rank, dst, round(d, 6) as d from r where rank <= 5")
@@ -201,29 +206,36 @@ def knn_vectors(spark, sf_dir):
     return neighbors.knn_arrays(e.where("vec_id < 20"), e, 5).select("src", "rank", "dst", *r6("d"))
 
 
+@query("knn_vectors_all", ORACLE_SQL["knn_vectors"].replace("a.vec_id < 20", "a.vec_id % 50 = 0"))
+def knn_vectors_all(spark, sf_dir):
+    """The stated query set: ids divisible by 50, against all vectors."""
+    e = table(spark, sf_dir, "embeddings")
+    return neighbors.knn_arrays(e.where("vec_id % 50 = 0"), e, 5).select("src", "rank", "dst", *r6("d"))
+
+
 COMPONENTS_SQL = f"""{PTS.replace("with", "with recursive", 1)}, {VOX_SQL}, e as (select a.id as s, b.id as t from v a join v b on {D2} <= 9 + 1e-12),
 reach as (select id as s, id as t from v union select r.s, e.t from reach r join e on e.s = r.t)
 select s as id, min(t) as component from reach group by all"""
 
 
 @query("components", COMPONENTS_SQL)
-def components(spark, sf_dir):
-    v = voxels(spark, sf_dir)
+def components(spark, sf_dir, gaps=True):
+    v = voxels(spark, sf_dir, gaps)
     return graph.connected_components(v, neighbors.radius_join(v, v, 3.0))
 
 
 EDGES_SQL = f"e0 as (select a.id as src, b.id as dst, {D2} as d2, a.id % 500 = 1 as seed, b.f as f from v a join v b on a.id <> b.id and {D2} <= 100 + 1e-12), e1 as (select src, dst, case when seed then 0 when d2 + ((1 - f) * 0.5 + f * 0.3 + f * -0.2) * 5 < 0 then 5e-5 else d2 + ((1 - f) * 0.5 + f * 0.3 + f * -0.2) * 5 end as w from e0), e as (select least(src, dst) as a, greatest(src, dst) as b, sum(w) as w from e1 group by all)"
 
 
-def cost_graph(spark, sf_dir) -> DataFrame:
-    v = voxels(spark, sf_dir).select("id", F.col("X").alias("X_gr"), F.col("Y").alias("Y_gr"), F.col("Z").alias("Z_gr"), F.col("f").alias("Verticality"), F.col("f").alias("Sphericity"), F.col("f").alias("Linearity"), (F.col("id") % 500 == 1).alias("is_seed"))
+def cost_graph(spark, sf_dir, gaps: bool = False) -> DataFrame:
+    v = voxels(spark, sf_dir, gaps).select("id", F.col("X").alias("X_gr"), F.col("Y").alias("Y_gr"), F.col("Z").alias("Z_gr"), F.col("f").alias("Verticality"), F.col("f").alias("Sphericity"), F.col("f").alias("Linearity"), (F.col("id") % 500 == 1).alias("is_seed"))
     return graph.cost_edges(v, 5.0, 0.5, 0.3, -0.2)
 
 
 @query("edge_weights", f"{PTS}, {VOX_SQL}, {EDGES_SQL} select a, b, round(w + 3.3e-9, 4) as w from e")
-def edge_weights(spark, sf_dir):
+def edge_weights(spark, sf_dir, gaps=True):
     # many weights end in a 5 at the fifth digit: a tiny shift keeps the last bit from deciding how they round
-    return cost_graph(spark, sf_dir).select("a", "b", F.round(F.col("w") + 3.3e-9, 4).alias("w"))
+    return cost_graph(spark, sf_dir, gaps).select("a", "b", F.round(F.col("w") + 3.3e-9, 4).alias("w"))
 
 
 def _seeds(edges: DataFrame) -> DataFrame:
@@ -231,6 +243,15 @@ def _seeds(edges: DataFrame) -> DataFrame:
     return ids.select("id", F.col("id").alias("seed"))
 
 
+def _whole(f):
+    """The query over all voxels, with the same SQL over VOX_ALL_SQL."""
+    query(f"{f.__name__}_all", ORACLE_SQL[f.__name__].replace(VOX_SQL, VOX_ALL_SQL))(lambda spark, sf_dir: f(spark, sf_dir, gaps=False))
+
+
+for _f in (radius_edges, point_density, knn_points, components, edge_weights):
+    _whole(_f)
+
+
 @query("csp_distances")
 def csp_distances(spark, sf_dir):
     edges = graph.written(cost_graph(spark, sf_dir))
@@ -287,12 +308,38 @@ def merge_intersect(spark, sf_dir):
     return src.merge(_clouds(spark, sf_dir)).select("oci", "X", F.round("Y", 6).alias("Y"), "Z", "prob")
 
 
+#: All seven clouds of tree_b; what they hold besides takes turns.
+_CLOUD_COLUMNS = {i: ("X", "Y", "Z", "prob", *((), ("score",), ("species",))[(i - 1) % 3]) for i in range(1, 8)}
+_CLOUDS_SQL = " union all by name ".join(f"select {i} as oci, {', '.join(c)} from pts where tree_b = {i}" for i, c in _CLOUD_COLUMNS.items())
+
+
+def _all_clouds(spark, sf_dir):
+    p = src.pts(spark, sf_dir)
+    return [p.where(f"tree_b = {i}").select(*c) for i, c in _CLOUD_COLUMNS.items()]
+
+
+@query("merge_fill_all", f"{PTS}, m as ({_CLOUDS_SQL}) select oci::integer as oci, count(*) as n, count(score) as scores, count(species) as species, round(sum(X), 4) as x from m group by all")
+def merge_fill_all(spark, sf_dir):
+    return src.merge(_all_clouds(spark, sf_dir), fill=True).groupBy("oci").agg(F.count("*").alias("n"), F.count("score").alias("scores"), F.count("species").alias("species"), F.round(F.sum("X"), 4).alias("x"))
+
+
+@query("merge_intersect_all", f"{PTS} select tree_b::integer as oci, X, round(Y, 6) as Y, Z, prob from pts")
+def merge_intersect_all(spark, sf_dir):
+    return src.merge(_all_clouds(spark, sf_dir)).select("oci", "X", F.round("Y", 6).alias("Y"), "Z", "prob")
+
+
 @query("species_lookup_join", f"{PTS}, t as (select tree_a as species_id, count(*) as n from pts group by all) select t.species_id, n, n_name as scientific_name from t left join (select s_suppkey, n_name from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 3 <> 0) l on l.s_suppkey = t.species_id")
 def species_lookup_join(spark, sf_dir):
     t = src.pts(spark, sf_dir).groupBy(F.col("tree_a").alias("species_id")).agg(F.count("*").alias("n"))
     return inventory.with_species_names(t, src.lookup(spark, sf_dir).where("species_id % 3 <> 0"))
 
 
+@query("species_lookup_join_all", ORACLE_SQL["species_lookup_join"].replace(" where s_suppkey % 3 <> 0", ""))
+def species_lookup_join_all(spark, sf_dir):
+    t = src.pts(spark, sf_dir).groupBy(F.col("tree_a").alias("species_id")).agg(F.count("*").alias("n"))
+    return inventory.with_species_names(t, src.lookup(spark, sf_dir))
+
+
 RING = [(10.0, 5.0), (40.0, 8.0), (35.0, 40.0), (22.0, 20.0), (12.0, 35.0)]
 
 
@@ -328,6 +375,12 @@ def owned_rows(spark, sf_dir):
     return inventory.owned_rows(s, inventory.tree_counts(s).where("instance_id % 7 = 3")).groupBy("segmentation_source", "instance_id").agg(F.count("*").alias("n"))
 
 
+@query("owned_rows_all", ORACLE_SQL["owned_rows"].replace(" where id % 7 = 3", ""))
+def owned_rows_all(spark, sf_dir):
+    s = src.seg(spark, sf_dir)
+    return inventory.owned_rows(s, inventory.tree_counts(s)).groupBy("segmentation_source", "instance_id").agg(F.count("*").alias("n"))
+
+
 @query("circle_functions", f"{PTS} select okey, round(abs(sqrt((X - 25) ^ 2 + (Y - 25) ^ 2) - 10), 6) as d, round(degrees(atan2(Y - 25, X - 25)), 6) as angle, floor((case when degrees(atan2(Y - 25, X - 25)) < 0 then degrees(atan2(Y - 25, X - 25)) + 360 else degrees(atan2(Y - 25, X - 25)) end) / 10)::bigint as bin from pts")
 def circle_functions(spark, sf_dir):
     x, y, c = F.col("X"), F.col("Y"), F.lit(25.0)
