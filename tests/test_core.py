@@ -90,6 +90,17 @@ def test_terrain_hole_is_an_error(spark):
         terrain.normalise_height(p.withColumn("X", F.lit(9.0)), dtm, 1.0).collect()
 
 
+def test_inventory_stops_without_terrain(spark):
+    """A tree beyond the terrain must not vanish from the inventory."""
+    dtm = spark.createDataFrame([(r, c, 0.0) for r in range(10) for c in range(10)], "row long, col long, z float")
+    far = [*F5, (50.0, 50.0, 9.0, 3, 7.0, 0.8, 0.4)]
+    cfg = Config(specs=(SPEC,), dtm_resolution=1.0, stand_area_m2=100.0)
+    assert plans.inventory_from_points(cloud(spark), cfg, dtm)[0].count() == 2
+    for bad in (dtm, dtm.unionByName(spark.createDataFrame([(50, 50, math.nan)], "row long, col long, z float"))):
+        with pytest.raises(PySparkException, match="outside the terrain"):
+            plans.inventory_from_points(cloud(spark, far), cfg, bad)
+
+
 def test_terrain_model_of_a_plane(spark):
     p = spark.range(0, 6000).select((F.col("id") % 60 * 0.5).alias("X"), (F.floor(F.col("id") / 60) * 0.5).alias("Y")).withColumn("Z", F.col("X") * 0.1 + F.col("Y") * 0.05).withColumn("Classification", F.lit(2))
     d = terrain.make_dtm(p, 1.0, tile=20.0, candidate=0.5).collect()
@@ -100,6 +111,16 @@ def test_terrain_model_of_a_plane(spark):
     assert max(r.z for r in low) < 7
 
 
+def test_terrain_covers_all_points(spark):
+    """Ground stands in one corner of the cloud only; the terrain goes as far as the points of the tile do."""
+    p = spark.range(0, 400).select((F.col("id") % 20 * 0.5).alias("X"), (F.floor(F.col("id") / 20) * 0.5).alias("Y"), F.lit(2.0).alias("Z"), F.lit(2).alias("Classification"))
+    tree = spark.createDataFrame([(14.5, 13.5, 9.0, 5), (0.2, 14.9, 8.0, 5)], "X double, Y double, Z double, Classification int")
+    points = p.unionByName(tree)
+    d = terrain.make_dtm(points, 0.3, tile=20.0, candidate=0.5)
+    assert {round(r.Z, 3) for r in terrain.normalise_height(points, d, 0.3).where("Classification = 5").collect()} == {7.0, 6.0}
+    assert d.count() == d.select("row", "col").distinct().count()
+
+
 def test_radius_and_knn(spark):
     rng = np.random.default_rng(3)
     xyz = rng.uniform(0, 5, (120, 3))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import cell
+from ..functions.scalar import cell, finite
 from ..model import ConfigError
 from .voxel import surface_candidates
 
@@ -22,7 +22,7 @@ def normalise_height(df: DataFrame, dtm: DataFrame, res: float, strict: bool = T
     small = F.broadcast(dtm) if n <= BROADCAST_CELLS else dtm
     t = small.select(F.col("row").alias("_r"), F.col("col").alias("_c"), F.col("z").cast("double").alias("_t"))
     out = keyed.join(t, (F.col("_row") == F.col("_r")) & (F.col("_col") == F.col("_c")), "left")
-    ground = F.when(F.col("_t").isNotNull(), F.col("_t")).otherwise(F.raise_error(F.lit("a point lies outside the terrain")).cast("double")) if strict else F.col("_t")
+    ground = F.when(finite(F.col("_t")).isNotNull(), F.col("_t")).otherwise(F.raise_error(F.lit("a point lies outside the terrain")).cast("double")) if strict else F.col("_t")
     return out.withColumn("Zref", F.col("Z")).withColumn("Z", F.col("Zref") - ground).drop("_row", "_col", "_r", "_c", "_t")
 
 
@@ -78,15 +78,19 @@ def interpolate(points: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = 8) ->
 
 def make_dtm(df: DataFrame, resolution: float = 0.2, tile: float = 50.0, buffer: float = 5.0, candidate: float = 0.1) -> DataFrame:
     """(row, col, z) terrain. Class-2 points if valid, else a cloth ground filter on the lowest point of each candidate
-    cell. Tiles with a buffer are groups of bounded density; each gives the cells of its core."""
+    cell. Tiles with a buffer are groups of bounded density; each gives the cells of its core, over the box of all its points,
+    ground or not. A tile with under three ground points, buffer included, has no terrain."""
+    per = max(1, round(tile / resolution))
+    tile = per * resolution  # whole cells
     ground = df.where("Classification = 2") if ground_is_valid(df) else None
     low = surface_candidates(ground if ground is not None else df, candidate)
     spread = lambda c: F.explode(F.sequence(F.floor((F.col(c) - buffer) / tile).cast("long"), F.floor((F.col(c) + buffer) / tile).cast("long")))
-    halo = low.withColumn("tx", spread("X")).withColumn("ty", spread("Y"))
+    cells = df.select(cell(F.col("X"), resolution).alias("c"), cell(F.col("Y"), resolution).alias("r")).where("c is not null and r is not null")
+    boxes = cells.groupBy(F.floor(F.col("c") / per).alias("tx"), F.floor(F.col("r") / per).alias("ty")).agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("r").alias("r0"), F.max("r").alias("r1"))
+    halo = low.withColumn("tx", spread("X")).withColumn("ty", spread("Y")).join(boxes, ["tx", "ty"])
     classify = ground is None
 
     def surface(key, f: pd.DataFrame) -> pd.DataFrame:
-        tx, ty = key
         p = f[["X", "Y", "Z"]].sort_values(["X", "Y"]).to_numpy(float)
         empty = pd.DataFrame({"row": pd.Series(dtype="int64"), "col": pd.Series(dtype="int64"), "z": pd.Series(dtype="float32")})
         if len(p) < 3 or np.ptp(p[:, 0]) == 0 or np.ptp(p[:, 1]) == 0:
@@ -95,13 +99,8 @@ def make_dtm(df: DataFrame, resolution: float = 0.2, tile: float = 50.0, buffer:
             p = p[cloth(p, max(0.5, candidate))]
         if len(p) < 3:
             return empty
-        per = int(round(tile / resolution))
-        inside = (p[:, 0] >= tx * tile) & (p[:, 0] < (tx + 1) * tile) & (p[:, 1] >= ty * tile) & (p[:, 1] < (ty + 1) * tile)
-        if not inside.any():
-            return empty
-        c = np.clip(np.floor(p[inside, 0] / resolution).astype(int), tx * per, (tx + 1) * per - 1)
-        r = np.clip(np.floor(p[inside, 1] / resolution).astype(int), ty * per, (ty + 1) * per - 1)
-        cc, rr = (g.ravel() for g in np.meshgrid(np.arange(c.min(), c.max() + 1), np.arange(r.min(), r.max() + 1)))
+        c0, c1, r0, r1 = (int(f[c].iloc[0]) for c in ("c0", "c1", "r0", "r1"))
+        cc, rr = (g.ravel() for g in np.meshgrid(np.arange(c0, c1 + 1), np.arange(r0, r1 + 1)))
         z = interpolate(p, (cc + 0.5) * resolution, (rr + 0.5) * resolution)
         return pd.DataFrame({"row": rr, "col": cc, "z": z.astype("float32")})
 

@@ -47,10 +47,10 @@ def stand_area(points: DataFrame, cfg: Config) -> float:
 
 
 def inventory_from_points(points: DataFrame, cfg: Config, dtm: DataFrame | None = None, seeds: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(inventory, summary) of a cloud in original heights."""
+    """(inventory, summary) of a cloud in original heights. A point without terrain stops the run."""
     cfg.validate()
     dtm = written(make_dtm(points, cfg.dtm_resolution, candidate=cfg.dtm_candidate_resolution)) if dtm is None else dtm
-    norm, specs = normalise_height(points, dtm, cfg.dtm_resolution, strict=False).where("Z is not null"), cfg.specs
+    norm, specs = normalise_height(points, dtm, cfg.dtm_resolution), cfg.specs
     used = None
     if cfg.enable_csp:
         norm, used = run_csp(norm, cfg, seeds)
