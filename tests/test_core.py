@@ -134,6 +134,13 @@ def test_radius_and_knn(spark):
     assert all([near[i][k] for k in (1, 2, 3, 4)] == list(np.argsort(d[i], kind="stable")[:4]) for i in range(120))
 
 
+def test_knn_of_a_lone_point(spark):
+    """It lies more than 2,048 cells away and still has its neighbours."""
+    df = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (2, 1.0, 0.0, 0.0), (3, 9000.0, 0.0, 0.0), (4, math.nan, 0.0, 0.0)], "id long, X double, Y double, Z double")
+    got = {(r.src, r["rank"]): r.dst for r in neighbors.knn(df, 2).collect()}
+    assert got == {(1, 1): 1, (1, 2): 2, (2, 1): 2, (2, 2): 1, (3, 1): 3, (3, 2): 2}
+
+
 def test_features_match_numpy(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(50, 3)) * [3, 1, 0.2]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import cell
+from ..functions.scalar import cell, finite
 from ..plans.storage import written
 
 
@@ -34,23 +34,27 @@ def density(df: DataFrame, radius: float, dims: tuple[str, ...] = ("X", "Y"), id
     return radius_join(df, df, radius, dims, id_col, itself=True).groupBy(F.col("src").alias(id_col)).agg(F.count("*").alias("density"))
 
 
-def knn(df: DataFrame, k: int, dims: tuple[str, ...] = ("X", "Y", "Z"), id_col: str = "id", size: float = 1.0, rounds: int = 12) -> DataFrame:
+def knn(df: DataFrame, k: int, dims: tuple[str, ...] = ("X", "Y", "Z"), id_col: str = "id", size: float = 1.0) -> DataFrame:
     """(src, rank, dst, d): the k nearest points, itself included. Ties go to the smaller id.
 
     A point is done when its k-th distance fits the searched radius; the rest are searched again with twice the cell.
-    A last round for points with fewer than k others in reach takes what exists."""
+    That ends when the cell spans the cloud, as k is at most the number of points. Points without an id or finite
+    coordinates have no row."""
+    for c in dims:
+        df = df.where(finite(F.col(c)).isNotNull())
+    df = df.where(F.col(id_col).isNotNull())
     rest, done = df, None
     total = df.count()
     k = min(k, total)
     order = Window.partitionBy("src").orderBy("d", "dst")
-    for i in range(rounds):
+    while True:
         near = radius_join(rest, df, size, dims, id_col, itself=True).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         near = written(near)
         full = near.groupBy("src").count().where(F.col("count") >= k).select(F.col("src").alias("_s"))
         part = near.join(full, F.col("src") == F.col("_s"), "left_semi")
         done = part if done is None else done.unionByName(part)
         rest = written(rest.join(full, F.col(id_col) == F.col("_s"), "left_anti"))
-        if i == rounds - 1 or not rest.limit(1).count():
+        if not rest.limit(1).count():
             break
         size *= 2
     return done.select("src", F.col("rank").cast("int"), "dst", "d")
