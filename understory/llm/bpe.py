@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 
 from .common import map_texts, table
 
-#: White space as Unicode has it; str.split() also splits at four control characters.
+#: White space as Unicode has it.
 _SPACE = "\t-\r \x85\xa0  -     　"
-_SPLIT = re.compile(f"[{_SPACE}]+")
-_ODD = re.compile("[\x1c-\x1f]")
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
-#: Finished words and pairs of tokens kept by a Python worker, words kept between tasks, characters of text whose new words share a trie.
-KEEP, FITS, IDLE, BLOCK = 300_000, 500_000, 100_000, 2 << 20
+#: The same for lower-case ASCII.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+#: Finished words of a generation (two are kept by a Python worker) and pairs of tokens, characters of text whose new words share a trie.
+KEEP, FITS, BLOCK = 100_000, 150_000, 1 << 19
 ENDS = [bytes([b]) for b in range(256)]
 
 
@@ -69,9 +69,19 @@ class TrieBPE:
         self.rank = {i: self.merge[self.made[i]][0] if i in self.made else -1 for i in self.text}
         self.inner = {t: i for t, i in self.inner.items() if self.reachable(i)}
         self.final = {t: i for t, i in self.final.items() if self.reachable(i)}
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        self.inner_reach, self.final_reach = self.reach(self.inner), self.reach(self.final)
         self.fits: dict[int, bool] = {}
         self.ids: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    @staticmethod
+    def reach(tokens: dict[bytes, int]) -> dict[bytes, int]:
+        """The length of the longest token that ends in these three bytes."""
+        out: dict[bytes, int] = {}
+        for t in tokens:
+            if len(t) > 2 and len(t) > out.get(t[-3:], 0):
+                out[t[-3:]] = len(t)
+        return out
 
     def crossing_free(self, a: int, b: int) -> bool:
         """Does BPE of the joined symbols of tokens a and b leave both as they are?
@@ -128,14 +138,15 @@ class TrieBPE:
         out: dict[bytes, list[int]] = {}
         last, lens = [-1], [0]
         stack: list[tuple[bytes, list]] = [(b"", root)]
-        inner, final, longest, fits, free = self.inner.get, self.final.get, self.longest, self.fits, self.crossing_free
+        inner, final, fits, free = self.inner.get, self.final.get, self.fits, self.crossing_free
+        inner_reach, final_reach = self.inner_reach.get, self.final_reach.get
         if len(fits) > FITS:
             fits.clear()
         while stack:
             path, node = stack.pop()
             depth = len(path)
             if depth:
-                for k in range(depth if depth < longest else longest, 0, -1):
+                for k in range(depth if depth < 3 else min(depth, inner_reach(path[-3:], 2)), 0, -1):
                     if (t := inner(path[depth - k :])) is not None:
                         a = last[depth - k]
                         if a < 0:
@@ -150,7 +161,7 @@ class TrieBPE:
             for end in node[1]:
                 whole = path + ENDS[end]
                 n = depth + 1
-                for k in range(n if n < longest else longest, 0, -1):
+                for k in range(n if n < 3 else min(n, final_reach(whole[-3:], 2)), 0, -1):
                     if (t := final(whole[n - k :])) is not None:
                         a = last[n - k]
                         if a < 0:
@@ -171,42 +182,36 @@ class TrieBPE:
                 stack.append((path + ENDS[c], child))
         return out
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encode chunks (runs without white space) that aren't known yet."""
+    def learn(self, words: set[str]) -> None:
+        """Encode the words that aren't known yet."""
+        if len(self.ids) > KEEP:  # of the words before, those that are met again come back
+            self.old, self.ids = self.ids, {}
+        new = words - self.ids.keys()
+        again = new & self.old.keys()
+        self.ids.update((w, self.old[w]) for w in again)
+        new = {w.encode() for w in new - again}
         gc.disable()  # a trie has many containers and no cycles
         try:
-            self._learn(chunks)
+            for w, ids in self.words(new).items():
+                self.ids[w.decode()] = struct.pack(f"<{len(ids)}I", *ids)
         finally:
             gc.enable()
 
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.ids) > KEEP:
-            self.ids.clear()
-            new = chunks
-        else:
-            new = chunks - self.ids.keys()
-        split = {}
-        for c in new:
-            n = unicodedata.normalize("NFC", c)
-            n = n.replace("Σ", "σ").lower()
-            split[c] = [w.encode() for w in _WORD.findall(n)]
-        done = self.words({w for ws in split.values() for w in ws})
-        for c, ws in split.items():
-            ids = [i for w in ws for i in done[w]]
-            self.ids[c] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def chunks(self, text: str) -> list[str]:
-        return _SPLIT.split(text) if _ODD.search(text) else text.split()
+    def split(self, text: str) -> list[str]:
+        """The words of a text without special tokens, normalised."""
+        if text.isascii():
+            return _ASCII.findall(text.lower())
+        return _WORD.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def pieces(self, text: str) -> list[list[str] | str]:
-        """Lists of chunks, and special tokens between them."""
+        """Lists of words, and special tokens between them."""
         if "<|" not in text or not self.special_re.search(text):
-            return [self.chunks(text)]
+            return [self.split(text)]
         out, at = [], 0
         for m in self.special_re.finditer(text):
-            out += [self.chunks(text[at : m.start()]), m[0]]
+            out += [self.split(text[at : m.start()]), m[0]]
             at = m.end()
-        return [*out, self.chunks(text[at:])]
+        return [*out, self.split(text[at:])]
 
     def finish(self, pieces: list[list[str] | str]) -> bytes:
         ids = self.ids.__getitem__
@@ -217,7 +222,7 @@ class TrieBPE:
         out, block, size = [], [], 0
         for t in [*texts, None]:
             if t is None or size > BLOCK:
-                self.learn({c for ps in block for p in ps if not isinstance(p, str) for c in p})
+                self.learn({w for ps in block for p in ps if not isinstance(p, str) for w in p})
                 out += [self.finish(ps) for ps in block]
                 block, size = [], 0
             if t is not None:
@@ -251,9 +256,7 @@ def bpe_encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
         for b in batches:
             ids = bpe.encode([t or "" for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.string())], ["id", "ids", "decoded"])
-        if len(bpe.ids) > IDLE:
-            bpe.ids.clear()
-        bpe.fits.clear()
+        bpe.ids, bpe.old, bpe.fits = {}, {}, {}
 
     return map_texts(df.select(id_col, text_col), run, f"id {dict(df.dtypes)[id_col]}, ids binary, decoded string").withColumnRenamed("id", id_col)
 
