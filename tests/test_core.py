@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from understory.functions import scalar as fn
 from understory.model import Config, ConfigError, SegmentationSpec, identity_seed, parse_args, partition_count
 from understory.operators import circle, features, graph, hull, inventory, neighbors, sampling, terrain, voxel
+from understory.operators.nearest import nearest_points
 from understory.plans import run as plans
 from understory.sources import output
 from understory.sources import points as src
@@ -28,7 +29,9 @@ def test_settings():
     assert [partition_count(n) for n in (29_011, 192_000_000, 668_000_000, 4_260_000_000, 10**11)] == [64, 64, 256, 2048, 4096]
     paths, cfg = parse_args("--input a --output-dir b --instance-attribute PredInstance_FM --non-tree-ids 0,2 --dbh-runs 3".split())
     assert cfg.specs[0].non_tree_ids == (0, 2) and cfg.dbh_runs == 3 and paths["input"] == "a"
-    for bad in ("--input a --output-dir b", "--input a --output-dir b --what 1", "--input a --output-dir b --instance-attribute x --instance-attribute x", "--input a --output-dir b --instance-attribute x --slice-width 0.2", "--input a --output-dir b --instance-attribute x --species-attribute s", "--input a --output-dir b --instance-attribute Zref", "--input a --output-dir b --instance-attribute PredInstance_CSP --enable-csp true"):
+    paths, cfg = parse_args("--input a --output-dir b --inventory-attributes PredInstance_A,PredInstance_B --dtm-strategy auto --read-chunk-size 500 --inventory-workers 4 --scratch-dir /tmp --dbh-evidence no --debug-outputs 1 --seed-mode automatic --seed-file s".split())
+    assert [s.instance for s in cfg.specs] == ["PredInstance_A", "PredInstance_B"] and not cfg.dbh_evidence and cfg.debug_outputs and "seed-file" not in paths
+    for bad in ("--input a --output-dir b --instance-attribute x --dtm-strategy fast", "--input a --output-dir b --instance-attribute x --seed-mode supplied", "--input a --output-dir b --instance-attribute x --inventory-workers many", "--input a --output-dir b", "--input a --output-dir b --what 1", "--input a --output-dir b --instance-attribute x --instance-attribute x", "--input a --output-dir b --instance-attribute x --slice-width 0.2", "--input a --output-dir b --instance-attribute x --species-attribute s", "--input a --output-dir b --instance-attribute Zref", "--input a --output-dir b --instance-attribute PredInstance_CSP --enable-csp true"):
         with pytest.raises(ConfigError):
             parse_args(bad.split())
 
@@ -38,6 +41,8 @@ def test_two_trees(spark):
     rows = {r.instance_id: r for r in inventory.inventory(seg, Config(specs=(SPEC,))).collect()}
     one = rows[1]
     assert (one.point_count, one.x, one.y, one.height_m, one.species_id, one.dbh_m, one.dbh_quality_code) == (2, 2.0, 2.0, 1.0, 7.0, None, 1)
+    assert (one.z, one.dbh_quality_label, one.dbh_runs, one.dbh_band_points, one.metrics_point_count) == (3.5, "dbh_unavailable", 1, 2.0, 2)
+    assert rows[2].z == 5.0 and rows[2].dbh_quality_code == 1  # one of its points is in the band: its mean
     assert one.species_prob == pytest.approx(0.85)
     assert one.pred_score_values == '[{"score":0.4,"point_count":1},{"score":0.6,"point_count":1}]'
     only = src.unpivot(cloud(spark), (SegmentationSpec("PredInstance_FM", non_tree_ids=(0, 2)),))
@@ -204,12 +209,162 @@ def test_circles():
     assert abs(f["cx"] - 10) < 0.005 and abs(f["cy"] - 20) < 0.005 and abs(f["r"] - 0.3) < 0.005
     assert circle.ransac_circle_fit(xy[:2])["r"] is None
     assert circle.reject_radii([0.2, 0.21, 0.3, 0.03, None, 0.2]) == [0.2, 0.21, None, None, None, 0.2]
+    assert circle.slice_status([None, 0.2, 0.27, 0.03, 0.21, None], [2, 9, 9, 9, 9, 9]) == ["too_few_points", "fitted", "growth_1_3x", "radius_below_0_04m", "fitted", "no_fit"]
+    assert circle.slice_status([0.2] * 9 + [9.0])[-1] == "outlier_2sd" and circle.slice_status([0.01, 0.2])[0] == "fitted"
     runs = [{"dbh": d, "code": c} for d, c in ((0.3, 4), (None, 3), (0.4, 4))]
-    assert circle.median_run(runs)["dbh"] == 0.3 and circle.median_run([runs[1], runs[1], runs[0]])["dbh"] is None
+    assert circle.median_run(runs)["dbh"] == 0.3
+    none = circle.median_run([runs[1], runs[1], runs[0]])
+    assert (none["dbh"], none["code"], none["fitted"], none["spread"], none["chosen"]) == (None, 3, 1, 0.0, 0)
     x = np.arange(8.0)
     assert circle.Spline(x, 2 * x + 1, 3)(3.3) == pytest.approx(7.6) and circle.Spline(x, 2 * x + 1)(9.0) == pytest.approx(19.0)
 
 
+def test_pratt_stops():
+    """Exact circles come back; where the steps leave the rules the root is 0, as in the published fit."""
+    t = np.array([0.1, 0.9, 2.0, 3.3, 5.0])
+    c = circle.pratt_fit(np.array([3 + 0.4 * np.cos(t)]), np.array([-2 + 0.4 * np.sin(t)]))
+    assert c[0] == pytest.approx([3, -2, 0.4], abs=1e-9)
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(500, 5)), rng.normal(size=(500, 5))
+
+    def one(x, y):
+        mx, my = x.mean(), y.mean()
+        u, v = x - mx, y - my
+        z = u * u + v * v
+        m = lambda a, b: float((a * b).mean())
+        xx, yy, xy, xz, yz, zz = m(u, u), m(v, v), m(u, v), m(u, z), m(v, z), m(z, z)
+        mz, cov = xx + yy, xx * yy - xy * xy
+        a2, a1 = 4 * cov - 3 * mz * mz - zz, (zz - mz * mz) * mz + 4 * cov * mz - xz * xz - yz * yz
+        a0 = xz * xz * yy + yz * yz * xx - 2 * xz * yz * xy - (zz - mz * mz) * cov
+        root, last = 0.0, math.inf
+        for i in range(20):
+            f = a0 + root * (a1 + root * (a2 + 4 * root * root))
+            if abs(f) > abs(last):
+                root = 0.0
+                break
+            last, new = f, root - f / (a1 + root * (2 * a2 + 16 * root * root))
+            near = abs((new - root) / new) < 1e-12
+            root = new
+            if near:
+                break
+            root = 0.0 if i == 19 or root < 0 else root
+        det = root * root - root * mz + cov
+        a, b = (xz * (yy - root) - yz * xy) / det / 2, (yz * (xx - root) - xz * xy) / det / 2
+        return a + mx, b + my, math.sqrt(a * a + b * b + mz + 2 * root)
+
+    got = circle.pratt_fit(x, y)
+    assert all(got[i] == pytest.approx(one(x[i], y[i]), rel=1e-6, abs=1e-9) for i in range(500))
+
+
+def test_nearest_points():
+    rng = np.random.default_rng(7)
+    for dims, n, m, k in ((3, 300, 300, 10), (2, 50, 400, 8), (2, 5, 20, 8), (3, 200, 3, 4)):
+        p, q = rng.normal(size=(n, dims)) ** 3, rng.normal(size=(m, dims)) * 2
+        got = nearest_points(p, q, k, room=2000)
+        d = np.sqrt(((q[:, None] - p[None]) ** 2).sum(2))
+        assert np.allclose(np.sort(np.take_along_axis(d, got, 1), 1), np.sort(d, 1)[:, : min(k, n)])
+    xyz = rng.normal(size=(200, 3)) * [3, 1, 0.1]
+    f = circle.stem_features(xyz, 12)
+    i = np.argsort(((xyz - xyz[9]) ** 2).sum(1))[:12]
+    val, vec = np.linalg.eigh(np.cov(xyz[i].T))
+    assert f[9] == pytest.approx([(val[1] - val[0]) / val[2], 1 - abs(vec[2, 0])])
+
+
+def stem(radius=0.2, low=0.0, high=6.0, step=0.05, n=60, x=10.0, y=20.0, lean=0.0, seed=1):
+    rng, out = np.random.default_rng(seed), []
+    for z in np.arange(low, high, step):
+        a = np.linspace(0, 2 * np.pi, n, endpoint=False)
+        r = radius + rng.normal(0, 0.001, n)
+        out.append(np.column_stack([x + lean * z + r * np.cos(a), y + r * np.sin(a), np.full(n, z)]))
+    return np.concatenate(out)
+
+
+def test_diameter_codes():
+    cfg, mean = Config(), lambda b: pytest.approx(tuple(b[:, :2].mean(0)))
+    band = lambda p: p[(p[:, 2] > cfg.slice_min) & (p[:, 2] < cfg.slice_max)]
+    few = circle.fit_tree(stem()[:2] + [0, 0, 1], None, cfg, 1)
+    assert (few["code"], few["dbh"], few["slices"]) == (1, None, [])
+    good = band(stem())
+    four = circle.fit_tree(good, None, cfg, 1)
+    assert four["code"] == 4 and four["dbh"] == pytest.approx(0.4, abs=0.01) and len(four["slices"]) == 19 and abs(four["x"] - 10) < 0.01
+    two = circle.fit_tree(band(stem(low=0.3, high=0.8)), None, cfg, 1)
+    assert two["code"] == 2 and two["dbh"] == pytest.approx(0.4, abs=0.01) and (two["x"], two["y"]) == mean(band(stem(low=0.3, high=0.8)))
+    thin = band(stem(high=5.0, step=0.2, n=2))
+    none = circle.fit_tree(thin, None, cfg, 1)  # slices of two points: no circle is left, still code 2 at the mean
+    assert (none["code"], none["dbh"]) == (2, None) and (none["x"], none["y"]) == mean(thin) and {s["status"] for s in none["slices"]} == {"too_few_points"}
+    wide = band(stem(radius=0.7))
+    three = circle.fit_tree(wide, None, cfg, 1)
+    assert (three["code"], three["dbh"]) == (3, None) and (three["x"], three["y"]) == mean(wide)
+    lean = band(np.concatenate([stem(high=2.0), stem(low=2.0, x=30.0)]))  # the spline's place is over 5 m off the mean
+    assert circle.fit_tree(lean, None, cfg, 1)["code"] == 3
+    # the geometry filter: a plane of loose points beside the stem doesn't take part
+    row = circle.measure_band(good, good[:, 2] + 100, None, cfg, "d", 1)
+    assert row[2] == pytest.approx(101.3) and row[3] == pytest.approx(0.4, abs=0.02) and row[4] == 4 and row[5] == 5
+    assert sum(f["reported"] for f in row[9]) == 1 and next(f for f in row[9] if f["reported"])["dbh_m"] == row[3]
+    assert all(s["n_fit_points"] < s["n_points"] and s["ground_z"] == pytest.approx(100) for s in row[10] if s["n_points"] >= 100)
+
+
+def trees(spark, parts):
+    rows = [(float(x), float(y), float(z), i) for i, p in parts.items() for x, y, z in p]
+    return spark.createDataFrame(rows, "X double, Y double, Z double, TreeID long")
+
+
+def test_tree_rows(spark, monkeypatch):
+    """Position, height, label and fallbacks of each kind of tree, on thinned points."""
+    low = np.array([[1.0, 1.0, 0.1], [1.0, 2.0, 0.2], [2.0, 1.0, 0.4]])
+    crown = np.array([[5.0, 5.0, 8.0], [6.0, 5.0, 9.0], [5.0, 7.0, 7.0], [5.0, 5.0, 8.0]])
+    p = trees(spark, {1: stem(step=0.1), 2: low, 3: crown})
+    seg = src.unpivot(p.withColumn("Zref", F.col("Z") + 50), (SegmentationSpec("TreeID"),), ("X", "Y", "Z", "Zref"))
+    rows = {r.instance_id: r for r in inventory.inventory(seg, Config(dbh_runs=3)).collect()}
+    assert rows[1].dbh_quality_label == "spline_fit" and rows[1].z == pytest.approx(51.3) and rows[1].dbh_runs_fitted == 3 and '"reported":true' in rows[1].dbh_fits
+    # nothing above half a metre, and nothing in the band: code 9, the thinned points' median place and lowest height
+    assert [(rows[i].dbh_quality_code, rows[i].dbh_quality_label, rows[i].dbh_m, rows[i].dbh_runs) for i in (2, 3)] == [(9, "dbh_unavailable", None, None)] * 2
+    assert (rows[2].x, rows[2].y, rows[2].z, rows[2].convex_hull_area_m2) == (1.0, 1.0, 50.1, 0.5)
+    assert (rows[3].x, rows[3].y, rows[3].z, rows[3].point_count, rows[3].metrics_point_count, rows[3].height_m) == (5.0, 5.0, 57.0, 4, 3, 2.0)
+    bad = circle.tree_diameters(seg.withColumn("X", F.when(F.col("instance_id") == 1, F.lit(math.nan)).otherwise(F.col("X"))), Config(dbh_runs=1, random_seed=None))
+    assert bad.select("dbh_quality_code", "dbh_m").first()[:] == (9, None)  # a failure costs one tree, not the job
+    with pytest.raises(PySparkException):
+        circle.tree_diameters(seg, Config(dbh_runs=1, random_seed=None), strict=True).collect()
+
+
+def test_forest_inventory(spark):
+    p = trees(spark, {1: stem(step=0.1), 2: stem(radius=0.1, x=15.0, step=0.1), 0: stem(x=1.0, step=0.5)}).withColumn("Znorm", F.col("Z")).withColumn("Z", F.col("Z") + 7).withColumn("label", (F.col("TreeID") == 1).cast("int"))
+    got = {r.TreeID: r for r in inventory.forest_inventory(p, return_evidence=True).collect()}
+    assert set(got) == {1, 2} and abs(got[1].DBH - 0.4) < 0.02 and abs(got[2].DBH - 0.2) < 0.02 and got[1].Z == pytest.approx(8.3) and got[1].quality_flag == 4 and len(got[1].dbh_slices) == 19
+    assert got[1].Height == pytest.approx(5.9, abs=1e-6) and got[1].ConvexHullArea == pytest.approx(math.pi * 0.04, rel=0.05)
+    stems = inventory.forest_inventory(p, use_stem_segmentation=True, semantic_colname="label", stem_semantic_label=1).collect()
+    assert [r.TreeID for r in stems] == [1]
+    simple = {r.TreeID: r for r in inventory.forest_inventory_simple(p).collect()}
+    assert set(simple) == {1, 2} and abs(simple[1].DBH - 0.4) < 0.02 and simple[1].quality_flag == 4 and simple[1].Z == pytest.approx(7.0)
+    for bad in ({"width": 0.2}, {"tree_id_col": "nope"}, {"use_stem_segmentation": True}):
+        with pytest.raises(ConfigError):
+            inventory.forest_inventory(p, **bad)
+    with pytest.raises(ConfigError):
+        inventory.forest_inventory(p.drop("Znorm"))
+
+
+def test_areas(spark, tmp_path):
+    """Holes are no part of an area, and what polygons share counts once."""
+    square = lambda x, y, s: [(x, y), (x + s, y), (x + s, y + s), (x, y + s)]
+    assert fn.polygons_area([[square(0, 0, 10), square(2, 2, 3)]]) == pytest.approx(91)
+    assert fn.polygons_area([[square(0, 0, 10)], [square(5, 5, 10)]]) == pytest.approx(175)
+    assert fn.polygons_area([[square(0, 0, 4), square(1, 1, 2)], [square(1, 1, 1)]]) == pytest.approx(13)
+    assert fn.polygons_area([[[(0, 0), (4, 4), (4, 0), (0, 4)]]]) == pytest.approx(8) and fn.polygons_area([]) == 0
+    (tmp_path / "a.json").write_text('{"type":"Feature","geometry":{"type":"Polygon","coordinates":[[[0,0],[10,0],[10,10],[0,10],[0,0]],[[2,2],[5,2],[5,5],[2,5],[2,2]]]}}')
+    area = src.read_aoi(spark, f"{tmp_path}/a.json")
+    t = spark.createDataFrame([(1.0, 1.0), (3.0, 3.0), (11.0, 1.0), (6.0, 6.0)], "x double, y double")
+    assert sorted(r.x for r in inventory.in_area(t, area).collect()) == [1.0, 6.0] and fn.polygons_area(area) == pytest.approx(91)
+    (tmp_path / "b.json").write_text('{"type":"Point","coordinates":[0,0]}')
+    with pytest.raises(ConfigError):
+        src.read_aoi(spark, f"{tmp_path}/b.json")
+
+
+def test_paths_that_dont_end(spark):
+    e = spark.createDataFrame([(i, i + 1, 1.0) for i in range(6)], "a long, b long, w double")
+    with pytest.raises(RuntimeError):
+        graph.nearest_seeds(e, spark.createDataFrame([(0, 0)], "id long, seed long"), 1, most_rounds=3)
+
+
 def test_stem_diameter(spark):
     s = src.stems(spark, 2).select(F.lit("S").alias("segmentation_source"), F.lit("stem").alias("instance_dimension"), "instance_id", "X", "Y", "Z")
     one = {r.instance_id: r for r in circle.tree_diameters(s, Config(dbh_runs=3)).collect()}
@@ -229,11 +384,19 @@ def test_sampling_and_colours(spark):
     v = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(11)], "vec_id long, embedding array<double>")
     assert [r.vec_id for r in sampling.fds(v, 3).orderBy("order").collect()] == [10, 0, 5]
     assert sampling.fds(v, 0.5).count() == 6 and sampling.fds(v, 99).count() == 11
-    c = sampling.choose_colours(list(range(1, 9)), np.array([[i, 0, 0] for i in range(8)], float), 8, 2)
+    near = {i: [j for j in (i - 1, i + 1) if 0 < j < 9] for i in range(1, 9)}
+    c = sampling.choose_colours(near, dict.fromkeys(near, 1.0), sampling.get_pal("rainbow")(8))
     assert all(c[i] != c[i + 1] for i in range(1, 8))
-    df = spark.createDataFrame([(0.0, 0.0, 0.0, 0), (1.0, 0.0, 0.0, 1), (2.0, 0.0, 0.0, 2)], "X double, Y double, Z double, TreeID long")
-    rows = {r.TreeID: (r.R, r.G, r.B) for r in sampling.color_ids(df).collect()}
-    assert rows[0] == (128, 128, 128) and rows[1] != rows[2]
+    assert sampling.get_pal("boring")(2) == [(222, 226, 230), (25, 28, 31)] and sampling.get_pal(("#000000", "#ffffff"))(3)[1] == (128, 128, 128) and len(sampling.PALETTES) == 9
+    with pytest.raises(ValueError):
+        sampling.get_pal("nope")
+    df = spark.createDataFrame([(float(i % 30), float(i // 30), 0.0, i, 1, 2, 3) for i in range(300)], "X double, Y double, Z double, TreeID long, R int, G int, B int")
+    rows = {r.TreeID: r for r in sampling.color_ids(df).collect()}
+    assert (rows[0].color_ID, rows[0].R, rows[0].G, rows[0].B) == (0, 255, 255, 255) and {r.color_ID for r in rows.values()} <= {*range(11)}
+    pal = sampling.get_pal("sky")(10)
+    assert all((r.R, r.G, r.B) == pal[r.color_ID - 1] for i, r in rows.items() if i) and all(rows[i].color_ID != rows[i + 1].color_ID for i in range(1, 299) if (i + 1) % 30)
+    assert sampling.color_ids(df, overwrite_rgb=False).where("R = 1 and G = 2 and B = 3").count() == 300
+    assert sampling.color_ids(df.where("TreeID = 0")).count() == 1
 
 
 def test_utm(spark):
@@ -272,6 +435,30 @@ def test_outputs_and_run(spark, tmp_path):
     assert [r.instance_id for r in inv] == [1, 2] and abs(inv[0].dbh_m - 0.3) < 0.02 and inv[0].longitude
     with pytest.raises(Exception):
         plans.run(spark, args, 32632)
+    spark.range(0, 4).select(F.col("id").alias("row"), F.col("id").alias("col"), F.lit(2.0).cast("float").alias("z")).write.parquet(f"{tmp_path}/small.parquet")
+    with pytest.raises(ConfigError, match="doesn't cover"):
+        plans.run(spark, [a.replace("/dtm.parquet", "/small.parquet").replace("/out", "/out2") for a in args])
+
+
+def test_segmentation_run(spark, tmp_path):
+    """A run with the shortest paths publishes the terrain, the whole cloud with its new attribute, the seeds and a record."""
+    import json
+
+    a, b = stem(step=0.1, n=40, x=5.0, y=5.0, high=4.0), stem(step=0.1, n=40, x=9.0, y=6.0, high=4.0, seed=2)
+    rows = [(float(x), float(y), float(z) + 3, 1, 7) for p in (a, b) for x, y, z in p]
+    rows += [(i * 0.25, j * 0.25, 3.0, 2, 7) for i in range(56) for j in range(44)]
+    spark.createDataFrame(rows, "X double, Y double, Z double, Classification int, Intensity int").write.parquet(f"{tmp_path}/in.parquet")
+    args = f"--input {tmp_path}/in.parquet --output-dir {tmp_path}/out --enable-csp true --debug-outputs true --dbh-runs 1 --dtm-resolution 0.5 --dtm-candidate-resolution 0.25 --seed-resolution 0.5 --seed-quantile 0.5 --seed-eps 0.8 --dbh-evidence false".split()
+    plans.run(spark, args)
+    inv = spark.read.parquet(f"{tmp_path}/out/tree_inventory.parquet")
+    assert inv.count() == 2 and "dbh_slices" not in inv.columns and {"seed_x", "seed_height_m"} <= set(inv.columns)
+    got = spark.read.parquet(f"{tmp_path}/out/segmented_points.parquet")
+    assert got.count() == len(rows) and {"Classification", "Intensity", "PredInstance_CSP"} <= set(got.columns) and got.agg(F.min("Z")).first()[0] == 3.0
+    assert spark.read.parquet(f"{tmp_path}/out/terrain.parquet").agg(F.max(F.abs(F.col("z") - 3))).first()[0] < 0.01
+    m = json.loads((tmp_path / "out/manifest.json").read_text())
+    assert [t["name"] for t in m["tables"]] == ["segmented_points", "stand_summary", "terrain", "tree_inventory"]
+    assert json.loads((tmp_path / "out/run.json").read_text())["trees"] == 2
+    assert spark.read.csv(f"{tmp_path}/out/effective_seeds.tsv", sep="\t", header=True).columns == ["X", "Y", "Z", "TreeID"]
 
 
 def test_las(spark, tmp_path):

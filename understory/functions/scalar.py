@@ -89,6 +89,42 @@ def in_ring(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
     return odd
 
 
+def in_polygons(x: Column, y: Column, polygons) -> Column:
+    """Is (x, y) in one of the polygons? A polygon is a list of rings, the outer one and its holes."""
+    out = F.lit(False)
+    for rings in polygons:
+        odd = F.lit(False)
+        for r in rings:
+            odd = odd != in_ring(x, y, list(r))
+        out = out | odd
+    return out
+
+
+def polygons_area(polygons) -> float:
+    """Area of the union of the polygons: holes are left out and what several cover counts once. Between the heights at
+    which edges begin, end or cross, the union is made of trapezoids, measured at their middle."""
+    edges = [(i, *(a + b if a[1] < b[1] else b + a)) for i, rings in enumerate(polygons) for r in rings for a, b in zip(map(tuple, r), [*map(tuple, r[1:]), tuple(r[0])]) if a[1] != b[1]]
+    at = {y for _, _, y0, _, y1 in edges for y in (y0, y1)}
+    for j, (_, ax, ay, bx, by) in enumerate(edges):
+        for _, cx, cy, dx, dy in edges[:j]:
+            det = (bx - ax) * (dy - cy) - (by - ay) * (dx - cx)
+            if det:
+                t, u = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / det, ((cx - ax) * (by - ay) - (cy - ay) * (bx - ax)) / det
+                if 0 < t < 1 and 0 <= u <= 1:
+                    at.add(ay + t * (by - ay))
+    total, ys = 0.0, sorted(at)
+    for low, high in zip(ys, ys[1:]):
+        mid, inside, start = (low + high) / 2, set(), 0.0
+        for x, i in sorted((x0 + (mid - y0) / (y1 - y0) * (x1 - x0), i) for i, x0, y0, x1, y1 in edges if y0 < mid < y1):
+            was = bool(inside)
+            inside ^= {i}
+            if inside and not was:
+                start = x
+            elif was and not inside:
+                total += (x - start) * (high - low)
+    return total
+
+
 def utm_to_wgs84(x: Column, y: Column, epsg: int) -> tuple[Column, Column]:
     """(longitude, latitude) of UTM coordinates on WGS 84 (EPSG 326zz north, 327zz south), by the inverse series."""
     if not (32601 <= epsg <= 32660 or 32701 <= epsg <= 32760):

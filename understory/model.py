@@ -14,7 +14,7 @@ STANDARD = {
 RESERVED = ("Zref", "source_order__")
 NAME = re.compile(r"[A-Za-z][A-Za-z0-9_]*")
 #: Labels of the diameter quality codes.
-QUALITY = {1: "too_few_points", 2: "mean_of_circles", 3: "implausible_spline", 4: "spline_fit"}
+QUALITY = {1: "too_few_stem_slice_points", 2: "fallback_circle_estimate", 3: "rejected_or_unstable_fit", 4: "spline_fit"}
 
 
 class ConfigError(ValueError):
@@ -78,6 +78,9 @@ class Config:
     dtm_resolution: float = 0.2
     dtm_candidate_resolution: float = 0.1
     stand_area_m2: float | None = None
+    dbh_evidence: bool = True
+    debug_outputs: bool = False
+    #: Polygons: lists of rings, the outer one and its holes.
     aoi: tuple = field(default=())
 
     def validate(self) -> Config:
@@ -106,9 +109,9 @@ class Config:
 
 
 def parse_bool(x: str) -> bool:
-    if x.lower() not in ("true", "false"):
+    if x.lower() not in ("true", "1", "yes", "false", "0", "no"):
         raise ConfigError(f"true or false, not {x!r}")
-    return x.lower() == "true"
+    return x.lower() in ("true", "1", "yes")
 
 
 def parse_ids(x: str) -> tuple[int, ...]:
@@ -121,11 +124,19 @@ def parse_ids(x: str) -> tuple[int, ...]:
 _OF_SPEC = {"species-attribute": "species", "species-probability-attribute": "probability", "score-attribute": "score", "non-tree-ids": "non_tree_ids", "source-name": "source"}
 
 
+#: Options that steer readers, workers and scratch space. Spark's own settings do that here: they are checked and ignored.
+IGNORED = (
+    "read-chunk-size", "chunk-buffer", "dtm-workers", "dtm-streaming-threshold", "inventory-partitions", "inventory-workers", "inventory-index-workers", "inventory-index-queue-mb", "inventory-core-size",
+    "inventory-buffer", "inventory-batch-points", "inventory-prefetch-mb", "inventory-decode-threads", "routing-workers", "geometry-threads",
+)
+CHOICES = {"dtm-strategy": ("auto", "spatial", "streaming"), "inventory-read-mode": ("auto", "spatial", "sequential", "copc-owned"), "seed-mode": ("automatic", "supplied")}
+
+
 def parse_args(args: list[str]) -> tuple[dict[str, str], Config]:
     """(paths, config) from --name value pairs; options of a segmentation bind to the instance attribute before them."""
     if len(args) % 2:
         raise ConfigError("options come as --name value")
-    paths, specs, values = {}, [], {}
+    paths, specs, values, modes = {}, [], {}, {}
     fields = {k.replace("_", "-"): k for k in Config.__dataclass_fields__}
     for name, value in zip(args[::2], args[1::2]):
         key = name.removeprefix("--")
@@ -137,6 +148,23 @@ def parse_args(args: list[str]) -> tuple[dict[str, str], Config]:
             specs[-1][_OF_SPEC[key]] = parse_ids(value) if key == "non-tree-ids" else value
         elif key in ("input", "output-dir", "aoi-json", "dtm", "species-lookup", "seed-file"):
             paths[key] = value
+        elif key in CHOICES:
+            if value not in CHOICES[key]:
+                raise ConfigError(f"{name} is one of {', '.join(CHOICES[key])}")
+            modes[key] = value
+        elif key in IGNORED:
+            try:
+                if float(value) < 0:
+                    raise ValueError(value)
+            except ValueError as e:
+                raise ConfigError(f"{name} must be a number, 0 at least: {value!r}") from e
+        elif key == "scratch-dir":
+            pass
+        elif key == "inventory-attributes":
+            names = value.split(",")
+            if not all(NAME.fullmatch(n) for n in names):
+                raise ConfigError(f"{name} requires attribute names: {value!r}")
+            specs += [{"instance": n} for n in names]
         elif key in fields and key not in ("specs", "aoi"):
             default = getattr(Config, fields[key])
             try:
@@ -145,6 +173,10 @@ def parse_args(args: list[str]) -> tuple[dict[str, str], Config]:
                 raise ConfigError(f"{name}: {e}") from e
         else:
             raise ConfigError(f"unknown option {name}")
+    if modes.get("seed-mode") == "supplied" and "seed-file" not in paths:
+        raise ConfigError("--seed-file is required when --seed-mode is supplied")
+    if modes.get("seed-mode") == "automatic":
+        paths.pop("seed-file", None)
     for need in ("input", "output-dir"):
         if need not in paths:
             raise ConfigError(f"--{need} is required")

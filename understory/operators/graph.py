@@ -12,17 +12,24 @@ from .voxel import add_voxel_coordinates, voxelize_points_mean_attributes
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
-    """(id, component): the smallest id that edges (src, dst) reach. Labels jump to their label's label each round."""
-    labels = written(nodes.select(F.col(id_col).alias("id"), F.col(id_col).alias("component")).distinct())
-    both = written(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct())
+    """(id, component): the smallest id that edges (src, dst) reach.
+
+    Alternating large-star and small-star steps: every join is on a node and its own neighbours, never on a component, and
+    edges only become fewer. Each step is written, so no lineage grows."""
+    e = written(edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u <> v").distinct())
+    seen = None
     while True:
-        near = both.join(labels, F.col("dst") == F.col("id")).groupBy(F.col("src").alias("_s")).agg(F.min("component").alias("_m"))
-        step = labels.join(near, F.col("id") == F.col("_s"), "left").select("id", F.col("component").alias("_was"), F.least("component", F.coalesce("_m", "component")).alias("component"))
-        hop = step.select(F.col("id").alias("_h"), F.col("component").alias("_hc"))
-        step = written(step.join(hop, F.col("component") == F.col("_h")).select("id", "_was", F.least("component", "_hc").alias("component")))
-        labels = step.select("id", "component")
-        if not step.where("_was <> component").limit(1).count():
-            return labels
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        e = written(large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct())
+        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if now == seen:
+            break
+        seen = now
+    ids = nodes.select(F.col(id_col).alias("id")).distinct()
+    return ids.join(e, F.col("id") == F.col("u"), "left").select("id", F.coalesce("v", "id").alias("component"))
 
 
 def dbscan_min1(points: DataFrame, eps: float, dims: tuple[str, ...] = ("X", "Y"), id_col: str = "id") -> DataFrame:
@@ -59,6 +66,8 @@ def nearest_seeds(edges: DataFrame, seeds: DataFrame, n_trees: int = 1, most_rou
         if not state.where("new").limit(1).count():
             break
         state = state.select("id", "seed", "dist", "new", "rank")
+    else:
+        raise RuntimeError(f"paths are still growing shorter after {most_rounds} rounds")
     return state.select("id", F.col("rank").cast("int").alias("rank"), "seed", "dist")
 
 

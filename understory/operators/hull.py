@@ -45,8 +45,28 @@ def _well_inside(p: np.ndarray) -> np.ndarray:
     return inside if edges > 2 else np.zeros(len(p), bool)
 
 
+def outer_points(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """df without points strictly inside the polygon of their group's extreme points in twelve directions: no vertex of a
+    hull goes. The extremes are partial aggregates; the test is arithmetic on the row."""
+    xy = F.struct(F.col("X").cast("double").alias("x"), F.col("Y").cast("double").alias("y"))
+    along = [F.col("X") * float(c) + F.col("Y") * float(s) for c, s in _DIRECTIONS]
+    fine = df.where(~F.isnan("X") & ~F.isnan("Y") & (F.abs("X") < float("inf")) & (F.abs("Y") < float("inf")))
+    ends = fine.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(*[F.max_by(xy, d).alias(f"_e{i}") for i, d in enumerate(along)])
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & fine[k].eqNullSafe(F.col(f"_k{i}"))
+    out = fine.join(ends, on) if keys else fine.crossJoin(F.broadcast(ends))  # without keys one row
+    inside, edges = F.lit(True), F.lit(0)
+    for i in range(12):
+        a, b = F.col(f"_e{i}"), F.col(f"_e{(i + 1) % 12}")
+        apart = (a["x"] != b["x"]) | (a["y"] != b["y"])
+        inside = inside & (~apart | ((b["x"] - a["x"]) * (F.col("Y") - a["y"]) - (b["y"] - a["y"]) * (F.col("X") - a["x"]) > 1e-9))
+        edges = edges + apart.cast("int")
+    return out.where(~(inside & (edges > 2))).select(*df.columns)
+
+
 def hull_vertices(df: DataFrame, keys: tuple[str, ...], least: int = 64) -> DataFrame:
-    """(keys, ring): the hull of each group. Groups with many rows in an input batch are cut to their hull there, so that
+    """(keys, ring): the hull of each group, of the points that aren't surely inside. Groups with many rows in an input batch are cut to their hull there, so that
     a group with a great share of all rows never meets whole in one task; hulls of hulls follow."""
     kinds = dict(df.dtypes)
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "X double", "Y double"])
@@ -63,11 +83,11 @@ def hull_vertices(df: DataFrame, keys: tuple[str, ...], least: int = 64) -> Data
                 h = convex_hull(g[["X", "Y"]].to_numpy(float))
                 yield g.iloc[: len(h)].assign(X=h[:, 0], Y=h[:, 1])
 
-    def final(key, f: pd.DataFrame) -> pd.DataFrame:
+    def final(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         h = convex_hull(f[["X", "Y"]].to_numpy(float))
         return pd.DataFrame([[*key, [{"x": float(x), "y": float(y)} for x, y in h]]], columns=[*keys, "ring"])
 
-    part = df.select(*keys, F.col("X").cast("double"), F.col("Y").cast("double")).mapInPandas(partial, schema)
+    part = outer_points(df.select(*keys, F.col("X").cast("double"), F.col("Y").cast("double")), keys).mapInPandas(partial, schema)
     out = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "ring array<struct<x:double,y:double>>"])
     if not keys:
         return part.groupBy(F.lit(0).alias("_all")).applyInPandas(lambda f: final((), f), "ring array<struct<x:double,y:double>>")

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+import re
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import geojson_polygon, in_ring, non_negative, quality_label, ring_area
-from ..model import Config
-from .circle import tree_diameters
+from ..functions.scalar import geojson_polygon, in_polygons, non_negative, quality_label, ring_area
+from ..model import Config, ConfigError
+from ..plans.storage import written
+from .circle import DBH, simple_diameters, tree_diameters
 from .hull import hull_vertices
 from .voxel import grid_thin
 
@@ -52,25 +55,90 @@ def hull_areas(seg: DataFrame, min_height: float = 0.5) -> DataFrame:
     return h.select(*TREE, "ring", ring_area(F.col("ring")).alias("convex_hull_area_m2"), F.when(F.size("ring") >= 3, geojson_polygon(F.col("ring"))).alias("crown_hull"))
 
 
+def thinned_geometry(thin: DataFrame, zref: str) -> DataFrame:
+    """Of the thinned points of each tree: their number, height range, median place and lowest original height."""
+    return thin.groupBy(*TREE).agg(F.count("*").cast("int").alias("metrics_point_count"), (F.max("Z") - F.min("Z")).alias("height_m"), F.median("X").alias("mx"), F.median("Y").alias("my"), F.min(zref).alias("mz"), F.count_if(F.col("Z") > 0.5).alias("crown"))
+
+
+COLUMNS = (
+    *TREE, "x", "y", "z", "dbh_m", "height_m", "convex_hull_area_m2", "point_count", "metrics_point_count", "species_id", "species_prob", "species_conflict_fraction",
+    "pred_score_values", "dbh_quality_code", "dbh_quality_label", "dbh_runs", "dbh_runs_fitted", "dbh_spread_m", "dbh_band_points", "dbh_fits", "dbh_slices", "crown_hull",
+)
+
+
 def inventory(seg: DataFrame, cfg: Config, with_dbh: bool = True) -> DataFrame:
     """One row for each tree. seg: the unpivoted cloud with Z as height over ground (Zref: the old Z, if there).
 
-    Every part is an aggregate by tree; the parts are joined on the tree, a table of trees. Evidence columns are nested
-    and NULL where nothing was measured."""
+    Counts, votes and scores are of all points; everything else is of the points thinned to cfg.metrics_grid, which are
+    written once. Position: the measurement's, else the thinned points' median place and lowest height. A tree without a
+    point in the band or above 0.5 m, and one whose measurement fails, has code 9; one with under three points above 0.5 m
+    has the hull of all its points. Parts are joined on the tree, a table of trees. Evidence columns are JSON and NULL
+    where nothing was measured."""
     zref = "Zref" if "Zref" in seg.columns else "Z"
-    thin = grid_thin(seg.select(*TREE, "X", "Y", "Z", *([zref] if zref != "Z" else [])), cfg.metrics_grid, TREE, z=zref)
-    base = seg.groupBy(*TREE).agg(F.count("*").alias("point_count"), (F.max("Z") - F.min("Z")).alias("height_m"), F.median("X").alias("mx"), F.median("Y").alias("my"), F.min(zref).alias("mz"))
-    out = base.join(thin.groupBy(*TREE).agg(F.count("*").cast("int").alias("metrics_point_count")), [*TREE])
-    out = out.join(species_vote(seg), [*TREE], "left").join(score_histogram(seg), [*TREE], "left").join(hull_areas(seg), [*TREE], "left")
+    thin = written(grid_thin(seg.select(*TREE, "X", "Y", "Z", *([zref] if zref != "Z" else [])), cfg.metrics_grid, TREE, z=zref).select(*TREE, "X", "Y", "Z", *([zref] if zref != "Z" else [])))
+    geometry = written(thinned_geometry(thin, zref))
+    low = geometry.where("crown < 3").select(*TREE)
+    hulls = hull_areas(thin.join(low, [*TREE], "left_anti")).unionByName(hull_areas(thin.join(low, [*TREE], "left_semi"), -math.inf))
+    out = geometry.join(tree_counts(seg), [*TREE]).join(species_vote(seg), [*TREE], "left").join(score_histogram(seg), [*TREE], "left").join(hulls, [*TREE], "left")
+    dbh = {n: t for n, t in (d.split(" ", 1) for d in re.split(r", (?=dbh)", DBH)[1:])}
     if with_dbh:
-        out = out.join(tree_diameters(thin.select(*TREE, "X", "Y", "Z"), cfg), [*TREE], "left")
+        m = tree_diameters(thin, cfg).join(geometry.where("crown > 0").select(*TREE), [*TREE], "left_semi")
+        out = out.join(m, [*TREE], "left")
     else:
-        out = out.withColumns({c: F.lit(None).cast(t) for c, t in (("dbh_x", "double"), ("dbh_y", "double"), ("dbh_m", "double"), ("dbh_quality_code", "int"), ("dbh_runs", "int"), ("dbh_runs_fitted", "int"), ("dbh_spread_m", "double"), ("dbh_band_points", "bigint"))})
-    out = out.withColumns({"x": F.coalesce("dbh_x", "mx"), "y": F.coalesce("dbh_y", "my"), "z": F.col("mz"), "dbh_quality_code": F.coalesce("dbh_quality_code", F.lit(1 if with_dbh else 9)), "dbh_band_points": F.coalesce("dbh_band_points", F.lit(0)).cast("double")})
+        out = out.withColumns({c: F.lit(None).cast(t) for c, t in dbh.items()})
+    out = out.withColumns({"x": F.coalesce("dbh_x", "mx"), "y": F.coalesce("dbh_y", "my"), "z": F.coalesce("dbh_z", "mz"), "dbh_quality_code": F.coalesce("dbh_quality_code", F.lit(9)), "dbh_band_points": F.coalesce("dbh_band_points", F.lit(0)).cast("double")})
     out = out.withColumn("dbh_quality_label", quality_label(F.col("dbh_quality_code"), F.col("dbh_m")))
-    order = [*TREE, "x", "y", "z", "dbh_m", "height_m", "convex_hull_area_m2", "point_count", "metrics_point_count", "species_id", "species_prob", "species_conflict_fraction", "pred_score_values", "dbh_quality_code", "dbh_quality_label", "dbh_runs", "dbh_runs_fitted", "dbh_spread_m", "dbh_band_points"]
-    json = {n: F.to_json(c, {"ignoreNullFields": "false"}) for n, c in (("dbh_fits", "dbh_fits"), ("dbh_slices", "dbh_slices")) if c in out.columns}
-    return out.select(*order, *[c.alias(n) for n, c in json.items()], "crown_hull")
+    return out.withColumns({c: F.to_json(c, {"ignoreNullFields": "false"}) for c in ("dbh_fits", "dbh_slices")}).select(*COLUMNS)
+
+
+def _of_trees(points: DataFrame, tree: str, non_tree: tuple[int, ...], rest: list[str] = ()) -> DataFrame:
+    """The points of trees, Z as height over ground: by Zref if there, else by Znorm."""
+    if tree not in points.columns:
+        raise ConfigError(f"no attribute {tree}")
+    if "Zref" not in points.columns:
+        if "Znorm" not in points.columns:
+            raise ConfigError("heights over ground are needed: Zref (with Z normalised) or Znorm")
+        points = points.withColumn("Zref", F.col("Z")).withColumn("Z", F.col("Znorm"))
+    keep = [c for c in ("Planarity", "Verticality", *rest) if c in points.columns]
+    out = points.where(F.col(tree).isNotNull() & ~F.col(tree).isin(*non_tree)) if non_tree else points.where(F.col(tree).isNotNull())
+    return out.select(F.lit("").alias("segmentation_source"), F.lit(tree).alias("instance_dimension"), F.col(tree).cast("long").alias("instance_id"), "X", "Y", "Z", "Zref", *keep)
+
+
+def _heights_and_hulls(p: DataFrame) -> DataFrame:
+    """Only trees with points above 0.5 m, as a hull is joined to each."""
+    heights = p.groupBy(*TREE).agg((F.max("Z") - F.min("Z")).alias("Height"))
+    return heights.join(hull_areas(p).select(*TREE, F.col("convex_hull_area_m2").alias("ConvexHullArea")), [*TREE])
+
+
+def forest_inventory(
+    points: DataFrame, slice_min: float = 0.3, slice_max: float = 4.0, increment: float = 0.2, width: float = 0.1, max_dbh: float = 1.0, tree_id_col: str = "TreeID", non_tree_id: tuple[int, ...] = (0,),
+    use_stem_segmentation: bool = False, semantic_colname: str | None = None, stem_semantic_label: int | None = None, return_evidence: bool = False, random_seed: int = 42,
+) -> DataFrame:
+    """(tree id, X, Y, Z, DBH, quality_flag, Height, ConvexHullArea, and dbh_slices with return_evidence) of segmented
+    points with heights. One run of the taper curve for each tree. With stem segmentation only points of the semantic
+    class are fitted, and all of them."""
+    if width > increment / 2:
+        raise ConfigError("slices may not overlap: width is at most half of increment")
+    cfg = replace(Config(), slice_min=slice_min, slice_max=slice_max, slice_increment=increment, slice_width=width, max_dbh=max_dbh, dbh_runs=1, random_seed=random_seed)
+    if use_stem_segmentation and (semantic_colname is None or stem_semantic_label is None or semantic_colname not in points.columns):
+        raise ConfigError("stem segmentation needs semantic_colname, an attribute of the points, and stem_semantic_label")
+    p = _of_trees(points, tree_id_col, non_tree_id, [semantic_colname] if use_stem_segmentation else [])
+    band = p
+    if use_stem_segmentation:  # no geometry filter: features without a value
+        band = p.where(F.col(semantic_colname) == stem_semantic_label).withColumns({"Planarity": F.lit(None).cast("double"), "Verticality": F.lit(None).cast("double")})
+    found = tree_diameters(band, cfg, strict=True).join(_heights_and_hulls(p), [*TREE])
+    extra = ["dbh_slices"] if return_evidence else []
+    return found.select(F.col("instance_id").alias(tree_id_col), F.col("dbh_x").alias("X"), F.col("dbh_y").alias("Y"), F.col("dbh_z").alias("Z"), F.col("dbh_m").alias("DBH"), F.col("dbh_quality_code").alias("quality_flag"), "Height", "ConvexHullArea", *extra)
+
+
+def forest_inventory_simple(points: DataFrame, slice_min: float = 1.2, slice_max: float = 1.4, max_dbh: float = 1.0, random_seed: int = 42) -> DataFrame:
+    """(TreeID, X, Y, DBH, quality_flag, Height, ConvexHullArea, Z): one circle over one slice; Z is the slice's mean
+    difference of height over ground and original height. max_dbh is taken for the call's sake: diameters end at 2 m."""
+    p = _of_trees(points, "TreeID", ()).where("instance_id > 0")
+    one = simple_diameters(p.withColumn("TreeID", F.col("instance_id")), slice_min, slice_max, random_seed)
+    z = p.where((F.col("Z") > slice_min) & (F.col("Z") < slice_max)).groupBy(F.col("instance_id").alias("TreeID")).agg(F.avg(F.col("Zref") - F.col("Z")).alias("Z"))
+    rest = _heights_and_hulls(p).select(F.col("instance_id").alias("TreeID"), "Height", "ConvexHullArea")
+    return one.join(rest, "TreeID").join(z, "TreeID")
 
 
 def with_species_names(inv: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -79,12 +147,9 @@ def with_species_names(inv: DataFrame, lookup: DataFrame) -> DataFrame:
     return inv.join(lookup, keys, "left").select(*inv.columns, *[c for c in lookup.columns if c not in keys])
 
 
-def in_area(inv: DataFrame, rings: list[list[tuple[float, float]]]) -> DataFrame:
-    """Trees whose position lies in the area."""
-    cond = F.lit(False)
-    for r in rings:
-        cond = cond | in_ring(F.col("x"), F.col("y"), r)
-    return inv.where(cond)
+def in_area(inv: DataFrame, polygons: list[list[list[tuple[float, float]]]]) -> DataFrame:
+    """Trees whose position lies in one of the polygons, and in none of its holes."""
+    return inv.where(in_polygons(F.col("x"), F.col("y"), polygons))
 
 
 def stand_summary(inv: DataFrame, area_m2: float) -> DataFrame:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import written
+from .neighbors import knn
+
+#: Instances up to which their colours go to all tasks.
+SEND = 1_000_000
 
 
 def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -44,15 +50,37 @@ def fds(df: DataFrame, n: float, spacing: float | None = None, id_col: str = "ve
     return df.sparkSession.createDataFrame(chosen, f"`order` int, {id_col} {dict(df.dtypes)[id_col]}")
 
 
-#: A palette of distinct colours.
-PALETTE = ("#e41a1c", "#377eb8", "#4daf4a", "#984ea3", "#ff7f00", "#ffff33", "#a65628", "#f781bf")
+#: The named palettes.
+PALETTES = {
+    "sky": ("#f2c13a", "#ef7239", "#f23184", "#955ae8", "#5c96f5"),
+    "sea": ("#d9ed92", "#99d98c", "#52b69a", "#168aad", "#1e6091", "#154366", "#0C304C"),
+    "cozy": ("#41764c", "#a7c957", "#eadbb3", "#d68b8b", "#bc4749"),
+    "fairy": ("#cd92ef", "#ffadcb", "#fed2e2", "#b1e2fc", "#9bc1ff"),
+    "winter": ("#007DA3", "#00afb9", "#fdfcdc", "#fdca9b", "#ee6258"),
+    "rainbow": ("#f52e2e", "#f5982e", "#f5d42e", "#dcf636", "#acf636", "#36f6a6", "#36e9f6", "#3d90ee", "#7336f6", "#c236f6"),
+    "pastel": ("#fcf7b7", "#fed9bb", "#ffbfc3", "#f7aae7", "#c4a6f5", "#90bbf8", "#7cd9f8", "#7beff9", "#85f9e0", "#a4fdac"),
+    "candy": ("#9137ff", "#ff5ce4", "#ff4545", "#fee440", "#00bbf9", "#00f5bc"),
+    "boring": ("#DEE2E6", "#191C1F"),
+}
+
+
+def rgb(colour: str) -> tuple[int, int, int]:
+    return tuple(int(colour[i : i + 2], 16) for i in (1, 3, 5))
+
+
+def get_pal(name: str | tuple[str, ...] = "rainbow"):
+    """A function of n that gives n colours evenly along the named palette, or along given colours, between neighbours by
+    linear interpolation."""
+    colours = PALETTES.get(name) if isinstance(name, str) else tuple(name)
+    if not colours:
+        raise ValueError(f"unknown palette: {name}")
+    stops = np.array([rgb(c) for c in colours], float)
 
+    def ramp(n: int) -> list[tuple[int, int, int]]:
+        at = np.linspace(0, len(stops) - 1, n) if n > 1 else np.zeros(1)
+        return [tuple(int(round(float(np.interp(t, np.arange(len(stops)), stops[:, j])))) for j in range(3)) for t in at]
 
-def get_pal(n: int, colours: tuple[str, ...] = PALETTE) -> list[tuple[int, int, int]]:
-    """n colours evenly along the palette, between neighbours by linear interpolation."""
-    rgb = np.array([[int(c[i : i + 2], 16) for i in (1, 3, 5)] for c in colours], float)
-    at = np.linspace(0, len(rgb) - 1, n) if n > 1 else np.zeros(1)
-    return [tuple(int(round(float(np.interp(t, np.arange(len(rgb)), rgb[:, j])))) for j in range(3)) for t in at]
+    return ramp
 
 
 def to_lab(rgb: np.ndarray) -> np.ndarray:
@@ -64,29 +92,39 @@ def to_lab(rgb: np.ndarray) -> np.ndarray:
     return np.stack([116 * f[..., 1] - 16, 500 * (f[..., 0] - f[..., 1]), 200 * (f[..., 1] - f[..., 2])], -1)
 
 
-def choose_colours(ids: list[int], xyz: np.ndarray, n_col: int = 8, n_neighbors: int = 10) -> dict[int, int]:
+def choose_colours(near: dict[int, list[int]], crowd: dict[int, float], pal: list[tuple[int, int, int]]) -> dict[int, int]:
     """Colour number of each instance: crowded ones first; of the colours that no neighbour has, the one farthest from
-    theirs in LAB. Without coloured neighbours it follows from the id."""
-    pal = to_lab(np.array(get_pal(n_col)))
-    apart = np.sqrt(((pal[:, None] - pal[None]) ** 2).sum(-1))
-    d = np.sqrt(((xyz[:, None] - xyz[None]) ** 2).sum(-1))
-    np.fill_diagonal(d, np.inf)
-    k = min(n_neighbors, len(ids) - 1)
-    near = np.argsort(d, axis=1, kind="stable")[:, :k]
-    crowd = np.take_along_axis(d, near, 1).mean(1) if k else np.zeros(len(ids))
+    theirs in LAB. Without coloured neighbours it follows from the id. near: an instance's neighbours; crowd: its mean
+    distance to them."""
+    lab, n_col = to_lab(np.array(pal)), len(pal)
+    apart = np.sqrt(((lab[:, None] - lab[None]) ** 2).sum(-1))
     got: dict[int, int] = {}
-    for i in sorted(range(len(ids)), key=lambda i: (crowd[i], ids[i])):
-        used = sorted({got[j] for j in near[i] if j in got})
+    for i in sorted(crowd, key=lambda i: (crowd[i], i)):
+        used = sorted({got[j] for j in near.get(i, ()) if j in got})
         free = [c for c in range(n_col) if c not in used] or list(range(n_col))
-        got[i] = (ids[i] * 2654435761) % n_col if not used else max(free, key=lambda c: (sum(apart[c, u] for u in used), -c))
-    return {ids[i]: c for i, c in got.items()}
-
-
-def color_ids(df: DataFrame, instance: str = "TreeID", n_col: int = 8, n_neighbors: int = 10, ground_id: int = 0, ground: tuple[int, int, int] = (128, 128, 128)) -> DataFrame:
-    """df with R, G, B by instance. Centroids of the instances, one row each, are coloured on the driver."""
-    cent = df.where(F.col(instance).isNotNull() & (F.col(instance) != ground_id)).groupBy(F.col(instance).alias("i")).agg(F.avg("X").alias("x"), F.avg("Y").alias("y"), F.min("Z").alias("z")).orderBy("i").collect()
-    colours = choose_colours([r.i for r in cent], np.array([[r.x, r.y, r.z] for r in cent]).reshape(-1, 3), n_col, n_neighbors) if cent else {}
-    pal = get_pal(n_col)
-    rows = [(i, *pal[c]) for i, c in colours.items()] + [(ground_id, *ground)]
-    table = df.sparkSession.createDataFrame([(int(i), *map(int, c)) for i, *c in rows], "_i bigint, R int, G int, B int")
-    return df.drop("R", "G", "B").join(F.broadcast(table), F.col(instance).cast("long") == F.col("_i"), "left").drop("_i")
+        got[i] = (i * 2654435761) % n_col if not used else max(free, key=lambda c: (sum(apart[c, u] for u in used), -c))
+    return got
+
+
+def color_ids(df: DataFrame, instance: str = "TreeID", col: str | tuple[str, ...] = "sky", n_col: int = 10, n_neighbors: int = 10, ground_id: int = 0, ground_color: str = "#ffffff", overwrite_rgb: bool = True) -> DataFrame:
+    """df with color_ID (1 and up; 0 for the ground) and R, G, B by instance; without overwrite_rgb R, G and B that df
+    has stay. Neighbours come from a join on cells; only the table of instances and their neighbours reaches the driver,
+    as each choice depends on the ones before it."""
+    if instance not in df.columns:
+        raise ValueError(f"no attribute {instance}")
+    cent = df.where(F.col(instance).isNotNull() & (F.col(instance) != ground_id)).groupBy(F.col(instance).cast("long").alias("id")).agg(F.avg("X").alias("X"), F.avg("Y").alias("Y"), F.min("Z").alias("Z"))
+    cent = written(cent)
+    box = cent.agg(F.count("*").alias("n"), F.max("X") - F.min("X"), F.max("Y") - F.min("Y")).first()
+    near, crowd = {}, {}
+    if box.n:
+        size = max(1e-3, math.sqrt(max(box[1], 1e-3) * max(box[2], 1e-3) * n_neighbors / box.n))
+        rows = knn(cent, n_neighbors, size=size).groupBy("src").agg(F.avg("d").alias("d"), F.collect_list("dst").alias("near")).toLocalIterator()
+        for r in rows:
+            near[r.src], crowd[r.src] = [j for j in r.near if j != r.src], r.d
+    pal = get_pal(col)(n_col)
+    colours = choose_colours(near, crowd, pal)
+    table = [(i, c + 1, *pal[c]) for i, c in colours.items()] + [(ground_id, 0, *rgb(ground_color))]
+    table = df.sparkSession.createDataFrame([tuple(map(int, r)) for r in table], "_i bigint, color_ID int, _R int, _G int, _B int")
+    keep = not overwrite_rgb and all(c in df.columns for c in "RGB")
+    out = df.drop("color_ID").join(F.broadcast(table) if len(colours) <= SEND else table, F.col(instance).cast("long") == F.col("_i"), "left").drop("_i")
+    return out.drop("_R", "_G", "_B") if keep else out.drop("R", "G", "B").withColumnsRenamed({"_R": "R", "_G": "G", "_B": "B"})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import cell, finite
 from ..model import ConfigError
+from .nearest import nearest_points
 from .voxel import surface_candidates
 
 #: Terrain cells up to which the table is sent to all tasks; beyond, it is joined by cell.
@@ -63,16 +64,16 @@ def cloth(points: np.ndarray, size: float, rounds: int = 150, near: float = 0.5)
     return np.abs(points[:, 2] - h[ij[:, 0], ij[:, 1]]) <= near
 
 
-def interpolate(points: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = 8) -> np.ndarray:
+def interpolate(points: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = 8, batch: int = 20_000) -> np.ndarray:
     """Plane through the k nearest points of each place, inverse-distance weighted; a plane surface comes back exactly."""
-    out = np.empty(len(x))
-    for i in range(len(x)):
-        d = np.hypot(points[:, 0] - x[i], points[:, 1] - y[i])
-        near = np.argpartition(d, min(k, len(d)) - 1)[:k]
-        w = 1 / (d[near] + 1e-6)
-        a = np.column_stack([np.ones(len(near)), points[near, 0] - x[i], points[near, 1] - y[i]])
-        sol, *_ = np.linalg.lstsq(a * w[:, None], points[near, 2] * w, rcond=None)
-        out[i] = sol[0]
+    places, out = np.column_stack([x, y]), np.empty(len(x))
+    near = nearest_points(points[:, :2], places, k)
+    for at in range(0, len(x), batch):
+        p = points[near[at : at + batch]]
+        dx, dy = (p[..., j] - places[at : at + batch, j, None] for j in (0, 1))
+        w = 1 / (np.hypot(dx, dy) + 1e-6)
+        a = np.stack([w, w * dx, w * dy], 2)
+        out[at : at + batch] = np.einsum("nj,nj->n", np.linalg.pinv(a)[:, 0], w * p[..., 2])
     return out
 
 
@@ -90,7 +91,7 @@ def make_dtm(df: DataFrame, resolution: float = 0.2, tile: float = 50.0, buffer:
     halo = low.withColumn("tx", spread("X")).withColumn("ty", spread("Y")).join(boxes, ["tx", "ty"])
     classify = ground is None
 
-    def surface(key, f: pd.DataFrame) -> pd.DataFrame:
+    def surface(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         p = f[["X", "Y", "Z"]].sort_values(["X", "Y"]).to_numpy(float)
         empty = pd.DataFrame({"row": pd.Series(dtype="int64"), "col": pd.Series(dtype="int64"), "z": pd.Series(dtype="float32")})
         if len(p) < 3 or np.ptp(p[:, 0]) == 0 or np.ptp(p[:, 1]) == 0:
@@ -107,10 +108,11 @@ def make_dtm(df: DataFrame, resolution: float = 0.2, tile: float = 50.0, buffer:
     return halo.groupBy("tx", "ty").applyInPandas(surface, "row bigint, col bigint, z float")
 
 
-def read_dtm(spark, path: str, extent: tuple[float, float, float, float], res: float) -> DataFrame:
-    """A supplied terrain table; it must cover the extent."""
+def read_dtm(spark, path: str, points: DataFrame, res: float) -> DataFrame:
+    """A supplied terrain table (row, col, z); it must cover the points' extent."""
     dtm = spark.read.parquet(path).select("row", "col", "z")
     b = dtm.agg(F.min("row"), F.max("row"), F.min("col"), F.max("col")).first()
-    if b[0] is None or b[2] > np.floor(extent[0] / res) or b[0] > np.floor(extent[1] / res) or b[3] < np.floor(extent[2] / res) or b[1] < np.floor(extent[3] / res):
+    e = points.agg(F.min("X"), F.min("Y"), F.max("X"), F.max("Y")).first()
+    if e[0] is not None and (b[0] is None or b[2] > np.floor(e[0] / res) or b[0] > np.floor(e[1] / res) or b[3] < np.floor(e[2] / res) or b[1] < np.floor(e[3] / res)):
         raise ConfigError("the supplied terrain doesn't cover the cloud")
     return dtm

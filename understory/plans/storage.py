@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """spark.checkpoint.dir of the session or the context. Unset, it is a temporary folder on a single machine, as in
+    tests, and an error on a cluster, whose executors couldn't see it."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="understory-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -7,7 +7,8 @@ tested on fixtures instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions import scalar as fn
@@ -41,22 +42,21 @@ def table(spark, sf_dir, name) -> DataFrame:
 
 VOTE_SQL = """votes as (select src, dim, id, species as sp, count(*) as n, quantile_cont(prob, 0.5) as p50 from seg where species >= 0 group by all),
 vote as (select src, dim, id, arg_max(sp, (n, -sp)) as species_id, arg_max(p50, (n, -sp)) as species_prob, 1 - max(n)::double / sum(n) as conflict from votes group by all)"""
-THIN_SQL = "thin as (select src, dim, id, floor(X / 0.5)::bigint as kx, floor(Y / 0.5)::bigint as ky, floor(Z / 0.5)::bigint as kz, min((X, Y, Z)) as p from seg group by all)"
-
 
 @query(
     "tree_inventory",
-    f"""{SEG}, {THIN_SQL}, {VOTE_SQL}, base as (select src, dim, id, count(*) as point_count, round(max(Z - 1) - min(Z - 1), 6) as height_m, round(median(X), 6) as x, round(median(Y), 6) as y, min(Z) as z from seg group by all),
-m as (select src, dim, id, count(*)::integer as metrics_point_count from thin group by all)
+    f"""{SEG}, thin as (select src, dim, id, floor(X / 0.5)::bigint as kx, floor(Y / 0.5)::bigint as ky, floor(Z / 0.5)::bigint as kz, min({{'x': X, 'y': Y, 'z': Z}}) as p from seg group by all), {VOTE_SQL}, base as (select src, dim, id, count(*) as point_count from seg group by all),
+m as (select src, dim, id, count(*)::integer as metrics_point_count, round(max(p.z - 1) - min(p.z - 1), 6) as height_m, round(median(p.x), 6) as x, round(median(p.y), 6) as y, min(p.z) as z from thin group by all)
 select base.src as segmentation_source, base.dim as instance_dimension, base.id as instance_id, point_count, metrics_point_count, height_m, x, y, z, species_id, round(species_prob, 6) as species_prob, round(conflict, 6) as species_conflict_fraction
 from base join m using (src, dim, id) left join vote using (src, dim, id)""",
 )
 def tree_inventory(spark, sf_dir):
-    """The flagship: valid instances, terrain, thinning, counts, height, vote. Joins are between tables of trees."""
+    """The flagship: valid instances, terrain, thinning, counts, height, vote; place and height of the thinned points, as
+    for trees without a diameter. Joins are between tables of trees."""
     s = src.seg(spark, sf_dir).withColumn("Zref", F.col("Z")).withColumn("Z", F.col("Z") - 1)
-    thin = voxel.grid_thin(s.select(*inventory.TREE, "X", "Y", "Zref"), 0.5, inventory.TREE, z="Zref").groupBy(*inventory.TREE).agg(F.count("*").cast("int").alias("metrics_point_count"))
-    base = s.groupBy(*inventory.TREE).agg(F.count("*").alias("point_count"), F.round(F.max("Z") - F.min("Z"), 6).alias("height_m"), F.round(F.median("X"), 6).alias("x"), F.round(F.median("Y"), 6).alias("y"), F.min("Zref").alias("z"))
-    out = base.join(thin, [*inventory.TREE]).join(inventory.species_vote(s), [*inventory.TREE], "left")
+    thin = voxel.grid_thin(s.select(*inventory.TREE, "X", "Y", "Zref", "Z"), 0.5, inventory.TREE, z="Zref")
+    geometry = inventory.thinned_geometry(thin, "Zref").select(*inventory.TREE, "metrics_point_count", *r6("height_m"), F.round("mx", 6).alias("x"), F.round("my", 6).alias("y"), F.col("mz").alias("z"))
+    out = inventory.tree_counts(s).join(geometry, [*inventory.TREE]).join(inventory.species_vote(s), [*inventory.TREE], "left")
     return out.select(*inventory.TREE, "point_count", "metrics_point_count", "height_m", "x", "y", "z", "species_id", *r6("species_prob", "species_conflict_fraction"))
 
 
@@ -164,51 +164,39 @@ def quantile_filter(spark, sf_dir):
     return voxel.quantile_filter(src.pts(spark, sf_dir), "tree_b", ("X", "Y"), 0.8).groupBy("tree_b").agg(F.count("*").alias("n"), F.round(F.sum("Y"), 4).alias("y"))
 
 
-#: Voxels of the adapter cloud with a gap pattern: a table whose size is set by the extent, not by the rows.
-VOX_SQL = "vox as (select floor(X / 5)::bigint as vx, floor(Y / 5)::bigint as vy, floor((Z + 1) / 2)::bigint as vz, round(avg(X) + 3.3e-9, 6) as X, round(avg(Y) + 3.3e-9, 6) as Y, round(avg(Z) + 3.3e-9, 6) as Z, round(avg(prob) + 3.3e-9, 6) as f from pts group by all), v as (select (vx * 1000000 + vy * 1000 + vz) as id, * from vox where (vx * 7 + vy * 3 + vz) % 4 <> 0)"
-
+#: Voxels of the adapter cloud: a table whose size is set by the extent, not by the rows.
+VOX_SQL = "vox as (select floor(X / 5)::bigint as vx, floor(Y / 5)::bigint as vy, floor((Z + 1) / 2)::bigint as vz, round(avg(X) + 3.3e-9, 6) as X, round(avg(Y) + 3.3e-9, 6) as Y, round(avg(Z) + 3.3e-9, 6) as Z, round(avg(prob) + 3.3e-9, 6) as f from pts group by all), v as (select (vx * 1000000 + vy * 1000 + vz) as id, * from vox)"
 
-#: The same without gaps. Queries whose SQL is fixed on the gap pattern or another part have a whole one beside them, ..._all.
-VOX_ALL_SQL = VOX_SQL.replace(" where (vx * 7 + vy * 3 + vz) % 4 <> 0", "")
 
-
-def voxels(spark, sf_dir, gaps: bool = False) -> DataFrame:
+def voxels(spark, sf_dir) -> DataFrame:
     p = src.pts(spark, sf_dir)
     k = {"vx": fn.cell(F.col("X"), 5.0), "vy": fn.cell(F.col("Y"), 5.0), "vz": fn.cell(F.col("Z"), 2.0, -1.0)}
     v = p.withColumns(k).groupBy(*k).agg(*[F.round(F.avg(c) + 3.3e-9, 6).alias(n) for c, n in (("X", "X"), ("Y", "Y"), ("Z", "Z"), ("prob", "f"))])
-    v = v.withColumn("id", F.col("vx") * 1_000_000 + F.col("vy") * 1000 + F.col("vz"))
-    return v.where((F.col("vx") * 7 + F.col("vy") * 3 + F.col("vz")) % 4 != 0) if gaps else v
+    return v.withColumn("id", F.col("vx") * 1_000_000 + F.col("vy") * 1000 + F.col("vz"))
 
 
 D2 = "(a.X - b.X) * (a.X - b.X) + (a.Y - b.Y) * (a.Y - b.Y) + (a.Z - b.Z) * (a.Z - b.Z)"
 
 
 @query("radius_edges", f"{PTS}, {VOX_SQL} select a.id as src, b.id as dst, round(sqrt({D2}), 6) as d from v a join v b on a.id <> b.id and {D2} <= 25 + 1e-12")
-def radius_edges(spark, sf_dir, gaps=True):
-    v = voxels(spark, sf_dir, gaps)
+def radius_edges(spark, sf_dir):
+    v = voxels(spark, sf_dir)
     return neighbors.radius_join(v, v, 5.0).select("src", "dst", *r6("d"))
 
 
 @query("point_density", f"{PTS}, {VOX_SQL} select a.id, count(*) as density from v a join v b on (a.X - b.X) * (a.X - b.X) + (a.Y - b.Y) * (a.Y - b.Y) <= 16 + 1e-12 group by all")
-def point_density(spark, sf_dir, gaps=True):
-    return neighbors.density(voxels(spark, sf_dir, gaps), 4.0)
+def point_density(spark, sf_dir):
+    return neighbors.density(voxels(spark, sf_dir), 4.0)
 
 
 @query("knn_points", f"{PTS}, {VOX_SQL}, d as (select a.id as src, b.id as dst, {D2} as d2, row_number() over (partition by a.id order by sqrt({D2}), b.id) as rank from v a, v b) select src, rank::integer as rank, dst, round(sqrt(d2), 6) as d from d where rank <= 5")
-def knn_points(spark, sf_dir, gaps=True):
-    return neighbors.knn(voxels(spark, sf_dir, gaps), 5, size=4.0).select("src", "rank", "dst", *r6("d"))
+def knn_points(spark, sf_dir):
+    return neighbors.knn(voxels(spark, sf_dir), 5, size=4.0).select("src", "rank", "dst", *r6("d"))
 
 
-@query("knn_vectors", "with d as (select a.vec_id as src, b.vec_id as dst, array_distance(a.embedding::double[64], b.embedding::double[64]) as d from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id < 20), r as (select *, row_number() over (partition by src order by d, dst) as rank from d) select src, rank::integer as rank, dst, round(d, 6) as d from r where rank <= 5")
+@query("knn_vectors", "with d as (select a.vec_id as src, b.vec_id as dst, array_distance(a.embedding::double[64], b.embedding::double[64]) as d from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0), r as (select *, row_number() over (partition by src order by d, dst) as rank from d) select src, rank::integer as rank, dst, round(d, 6) as d from r where rank <= 5")
 def knn_vectors(spark, sf_dir):
-    """The twenty smallest ids are the feature here: a fixed set of queries against all vectors."""
-    e = table(spark, sf_dir, "embeddings")
-    return neighbors.knn_arrays(e.where("vec_id < 20"), e, 5).select("src", "rank", "dst", *r6("d"))
-
-
-@query("knn_vectors_all", ORACLE_SQL["knn_vectors"].replace("a.vec_id < 20", "a.vec_id % 50 = 0"))
-def knn_vectors_all(spark, sf_dir):
-    """The stated query set: ids divisible by 50, against all vectors."""
+    """The stated query set, ids divisible by 50, against all vectors."""
     e = table(spark, sf_dir, "embeddings")
     return neighbors.knn_arrays(e.where("vec_id % 50 = 0"), e, 5).select("src", "rank", "dst", *r6("d"))
 
@@ -219,23 +207,23 @@ select s as id, min(t) as component from reach group by all"""
 
 
 @query("components", COMPONENTS_SQL)
-def components(spark, sf_dir, gaps=True):
-    v = voxels(spark, sf_dir, gaps)
+def components(spark, sf_dir):
+    v = voxels(spark, sf_dir)
     return graph.connected_components(v, neighbors.radius_join(v, v, 3.0))
 
 
 EDGES_SQL = f"e0 as (select a.id as src, b.id as dst, {D2} as d2, a.id % 500 = 1 as seed, b.f as f from v a join v b on a.id <> b.id and {D2} <= 100 + 1e-12), e1 as (select src, dst, case when seed then 0 when d2 + ((1 - f) * 0.5 + f * 0.3 + f * -0.2) * 5 < 0 then 5e-5 else d2 + ((1 - f) * 0.5 + f * 0.3 + f * -0.2) * 5 end as w from e0), e as (select least(src, dst) as a, greatest(src, dst) as b, sum(w) as w from e1 group by all)"
 
 
-def cost_graph(spark, sf_dir, gaps: bool = False) -> DataFrame:
-    v = voxels(spark, sf_dir, gaps).select("id", F.col("X").alias("X_gr"), F.col("Y").alias("Y_gr"), F.col("Z").alias("Z_gr"), F.col("f").alias("Verticality"), F.col("f").alias("Sphericity"), F.col("f").alias("Linearity"), (F.col("id") % 500 == 1).alias("is_seed"))
+def cost_graph(spark, sf_dir) -> DataFrame:
+    v = voxels(spark, sf_dir).select("id", F.col("X").alias("X_gr"), F.col("Y").alias("Y_gr"), F.col("Z").alias("Z_gr"), F.col("f").alias("Verticality"), F.col("f").alias("Sphericity"), F.col("f").alias("Linearity"), (F.col("id") % 500 == 1).alias("is_seed"))
     return graph.cost_edges(v, 5.0, 0.5, 0.3, -0.2)
 
 
 @query("edge_weights", f"{PTS}, {VOX_SQL}, {EDGES_SQL} select a, b, round(w + 3.3e-9, 4) as w from e")
-def edge_weights(spark, sf_dir, gaps=True):
+def edge_weights(spark, sf_dir):
     # many weights end in a 5 at the fifth digit: a tiny shift keeps the last bit from deciding how they round
-    return cost_graph(spark, sf_dir, gaps).select("a", "b", F.round(F.col("w") + 3.3e-9, 4).alias("w"))
+    return cost_graph(spark, sf_dir).select("a", "b", F.round(F.col("w") + 3.3e-9, 4).alias("w"))
 
 
 def _seeds(edges: DataFrame) -> DataFrame:
@@ -243,22 +231,23 @@ def _seeds(edges: DataFrame) -> DataFrame:
     return ids.select("id", F.col("id").alias("seed"))
 
 
-def _whole(f):
-    """The query over all voxels, with the same SQL over VOX_ALL_SQL."""
-    query(f"{f.__name__}_all", ORACLE_SQL[f.__name__].replace(VOX_SQL, VOX_ALL_SQL))(lambda spark, sf_dir: f(spark, sf_dir, gaps=False))
+def _paths_sql(rounds: int) -> str:
+    """Distances of all nodes to all seeds by so many rounds over the edges, more than any cheapest path has."""
+    steps = ["d0 as materialized (select a as id, a as seed, 0::double as dist from both_ways where a % 500 = 1 group by all)"]
+    steps += [f"d{i} as materialized (select id, seed, min(dist) as dist from (select * from d{i - 1} union all select e.b, d.seed, d.dist + e.w from d{i - 1} d join both_ways e on d.id = e.a) group by id, seed)" for i in range(1, rounds + 1)]
+    return f"both_ways as materialized (select a, b, w from e union all select b, a, w from e), {', '.join(steps)}, best as (select id, seed, dist, row_number() over (partition by id order by dist, seed) as rank from d{rounds})"
 
 
-for _f in (radius_edges, point_density, knn_points, components, edge_weights):
-    _whole(_f)
+PATHS_SQL = f"{PTS}, {VOX_SQL}, {EDGES_SQL}, {_paths_sql(24)}"
 
 
-@query("csp_distances")
+@query("csp_distances", f"{PATHS_SQL} select id, seed, round(dist, 4) as dist from best where rank = 1")
 def csp_distances(spark, sf_dir):
     edges = graph.written(cost_graph(spark, sf_dir))
     return graph.nearest_seeds(edges, _seeds(edges), 1).select("id", "seed", *r6("dist", digits=4))
 
 
-@query("top2_seeds")
+@query("top2_seeds", f"{PATHS_SQL} select id, coalesce(max(case when rank = 1 then seed end), 0) as TreeID, coalesce(max(case when rank = 2 then seed end), 0) as TreeID2, round(max(case when rank = 1 then dist end), 4) as dist, round(max(case when rank = 2 then dist end), 4) as dist2 from best group by id")
 def top2_seeds(spark, sf_dir):
     edges = graph.written(cost_graph(spark, sf_dir))
     out = graph.pivot_ranks(graph.nearest_seeds(edges, _seeds(edges), 2), 2)
@@ -275,37 +264,29 @@ def csp_segmentation(spark, sf_dir):
 PCA = "case when p > 0 then acos(greatest(-1, least(1, ((cxx - q) / p * ((cyy - q) / p * (czz - q) / p - cyz / p * cyz / p) - cxy / p * (cxy / p * (czz - q) / p - cyz / p * cxz / p) + cxz / p * (cxy / p * cyz / p - (cyy - q) / p * cxz / p)) / 2))) / 3 else 0 end"
 
 
+#: From covariances in a table c to the features' parts in n.
+EIGEN_SQL = f"""c1 as (select *, (cxx + cyy + czz) / 3 as q from c), c2 as (select *, sqrt(((cxx - q) ^ 2 + (cyy - q) ^ 2 + (czz - q) ^ 2 + 2 * (cxy ^ 2 + cxz ^ 2 + cyz ^ 2)) / 6) as p from c1), c3 as (select *, {PCA} as phi from c2),
+l as (select *, q + 2 * p * cos(phi) as l1, q + 2 * p * cos(phi + 2 * pi() / 3) as l3 from c3), m as (select *, 3 * q - l1 - l3 as l2 from l),
+n as (select *, (cyy - l3) * (czz - l3) - cyz ^ 2 as axx, (cxx - l3) * (czz - l3) - cxz ^ 2 as ayy, (cxx - l3) * (cyy - l3) - cxy ^ 2 as azz from m)"""
+FEATURES_SQL = ", ".join(f"round({x}, 5) as {n}" for n, x in (("Curvature", "l3 / (l1 + l2 + l3)"), ("Linearity", "(l1 - l2) / l1"), ("Planarity", "(l2 - l3) / l1"), ("Sphericity", "l3 / l1"), ("Anisotropy", "(l1 - l3) / l1"), ("Verticality", "1 - sqrt(azz / (axx + ayy + azz))")))
+COVARIANCE_SQL = "covar_samp(X, X) as cxx, covar_samp(Y, Y) as cyy, covar_samp(Z, Z) as czz, covar_samp(X, Y) as cxy, covar_samp(X, Z) as cxz, covar_samp(Y, Z) as cyz"
+
+
 @query(
     "pca_features",
-    f"""{PTS}, c as (select tree_a, covar_samp(X, X) as cxx, covar_samp(Y, Y) as cyy, covar_samp(Z, Z) as czz, covar_samp(X, Y) as cxy, covar_samp(X, Z) as cxz, covar_samp(Y, Z) as cyz from pts group by all),
-c1 as (select *, (cxx + cyy + czz) / 3 as q from c), c2 as (select *, sqrt(((cxx - q) ^ 2 + (cyy - q) ^ 2 + (czz - q) ^ 2 + 2 * (cxy ^ 2 + cxz ^ 2 + cyz ^ 2)) / 6) as p from c1), c3 as (select *, {PCA} as phi from c2),
-l as (select *, q + 2 * p * cos(phi) as l1, q + 2 * p * cos(phi + 2 * pi() / 3) as l3 from c3), m as (select *, 3 * q - l1 - l3 as l2 from l),
-n as (select *, (cyy - l3) * (czz - l3) - cyz ^ 2 as axx, (cxx - l3) * (czz - l3) - cxz ^ 2 as ayy, (cxx - l3) * (cyy - l3) - cxy ^ 2 as azz from m)
-select tree_a, round(l3 / (l1 + l2 + l3), 5) as Curvature, round((l1 - l2) / l1, 5) as Linearity, round((l2 - l3) / l1, 5) as Planarity, round(l3 / l1, 5) as Sphericity, round((l1 - l3) / l1, 5) as Anisotropy, round(1 - sqrt(azz / (axx + ayy + azz)), 5) as Verticality from n""",
+    f"{PTS}, c as (select tree_a, {COVARIANCE_SQL} from pts group by all), {EIGEN_SQL} select tree_a, {FEATURES_SQL} from n",
 )
 def pca_features(spark, sf_dir):
     c = src.pts(spark, sf_dir).groupBy("tree_a").agg(*features.covariance())
     return features.eigen_features(features.eigen_decomposition(c)).select("tree_a", *r6(*features.FEATURES, digits=5))
 
 
-@query("geometry_features")
+@query(
+    "geometry_features",
+    f"{PTS}, {VOX_SQL}, d as (select a.id, b.X, b.Y, b.Z, row_number() over (partition by a.id order by sqrt({D2}), b.id) as rank from v a, v b), c as (select id, {COVARIANCE_SQL} from d where rank <= 8 group by id), {EIGEN_SQL} select id, {FEATURES_SQL} from n",
+)
 def geometry_features(spark, sf_dir):
-    return features.add_geometry(voxels(spark, sf_dir).select("id", "X", "Y", "Z"), 8, size=4.0).select("id", *r6(*features.FEATURES))
-
-
-def _clouds(spark, sf_dir):
-    p = src.pts(spark, sf_dir)
-    return [p.where("tree_b = 1").select("X", "Y", "Z", "prob"), p.where("tree_b = 2").select("X", "Y", "Z", "prob", "score"), p.where("tree_b = 3").select("X", "Y", "Z", "prob", "species")]
-
-
-@query("merge_fill", f"{PTS}, m as (select 1 as oci, X, Y, Z, prob from pts where tree_b = 1 union all by name select 2 as oci, X, Y, Z, prob, score from pts where tree_b = 2 union all by name select 3 as oci, X, Y, Z, prob, species from pts where tree_b = 3) select oci::integer as oci, count(*) as n, count(score) as scores, count(species) as species, round(sum(X), 4) as x from m group by all")
-def merge_fill(spark, sf_dir):
-    return src.merge(_clouds(spark, sf_dir), fill=True).groupBy("oci").agg(F.count("*").alias("n"), F.count("score").alias("scores"), F.count("species").alias("species"), F.round(F.sum("X"), 4).alias("x"))
-
-
-@query("merge_intersect", f"{PTS} select tree_b::integer as oci, X, round(Y, 6) as Y, Z, prob from pts where tree_b <= 3")
-def merge_intersect(spark, sf_dir):
-    return src.merge(_clouds(spark, sf_dir)).select("oci", "X", F.round("Y", 6).alias("Y"), "Z", "prob")
+    return features.add_geometry(voxels(spark, sf_dir).select("id", "X", "Y", "Z"), 8, size=4.0).select("id", *r6(*features.FEATURES, digits=5))
 
 
 #: All seven clouds of tree_b; what they hold besides takes turns.
@@ -313,29 +294,23 @@ _CLOUD_COLUMNS = {i: ("X", "Y", "Z", "prob", *((), ("score",), ("species",))[(i
 _CLOUDS_SQL = " union all by name ".join(f"select {i} as oci, {', '.join(c)} from pts where tree_b = {i}" for i, c in _CLOUD_COLUMNS.items())
 
 
-def _all_clouds(spark, sf_dir):
+def _clouds(spark, sf_dir):
     p = src.pts(spark, sf_dir)
     return [p.where(f"tree_b = {i}").select(*c) for i, c in _CLOUD_COLUMNS.items()]
 
 
-@query("merge_fill_all", f"{PTS}, m as ({_CLOUDS_SQL}) select oci::integer as oci, count(*) as n, count(score) as scores, count(species) as species, round(sum(X), 4) as x from m group by all")
-def merge_fill_all(spark, sf_dir):
-    return src.merge(_all_clouds(spark, sf_dir), fill=True).groupBy("oci").agg(F.count("*").alias("n"), F.count("score").alias("scores"), F.count("species").alias("species"), F.round(F.sum("X"), 4).alias("x"))
+@query("merge_fill", f"{PTS}, m as ({_CLOUDS_SQL}) select oci::integer as oci, count(*) as n, count(score) as scores, count(species) as species, round(sum(X), 4) as x from m group by all")
+def merge_fill(spark, sf_dir):
+    return src.merge(_clouds(spark, sf_dir), fill=True).groupBy("oci").agg(F.count("*").alias("n"), F.count("score").alias("scores"), F.count("species").alias("species"), F.round(F.sum("X"), 4).alias("x"))
 
 
-@query("merge_intersect_all", f"{PTS} select tree_b::integer as oci, X, round(Y, 6) as Y, Z, prob from pts")
-def merge_intersect_all(spark, sf_dir):
-    return src.merge(_all_clouds(spark, sf_dir)).select("oci", "X", F.round("Y", 6).alias("Y"), "Z", "prob")
+@query("merge_intersect", f"{PTS} select tree_b::integer as oci, X, round(Y, 6) as Y, Z, prob from pts")
+def merge_intersect(spark, sf_dir):
+    return src.merge(_clouds(spark, sf_dir)).select("oci", "X", F.round("Y", 6).alias("Y"), "Z", "prob")
 
 
-@query("species_lookup_join", f"{PTS}, t as (select tree_a as species_id, count(*) as n from pts group by all) select t.species_id, n, n_name as scientific_name from t left join (select s_suppkey, n_name from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 3 <> 0) l on l.s_suppkey = t.species_id")
+@query("species_lookup_join", f"{PTS}, t as (select tree_a as species_id, count(*) as n from pts group by all) select t.species_id, n, n_name as scientific_name from t left join (select s_suppkey, n_name from supplier join nation on s_nationkey = n_nationkey) l on l.s_suppkey = t.species_id")
 def species_lookup_join(spark, sf_dir):
-    t = src.pts(spark, sf_dir).groupBy(F.col("tree_a").alias("species_id")).agg(F.count("*").alias("n"))
-    return inventory.with_species_names(t, src.lookup(spark, sf_dir).where("species_id % 3 <> 0"))
-
-
-@query("species_lookup_join_all", ORACLE_SQL["species_lookup_join"].replace(" where s_suppkey % 3 <> 0", ""))
-def species_lookup_join_all(spark, sf_dir):
     t = src.pts(spark, sf_dir).groupBy(F.col("tree_a").alias("species_id")).agg(F.count("*").alias("n"))
     return inventory.with_species_names(t, src.lookup(spark, sf_dir))
 
@@ -350,7 +325,7 @@ def _ring_sql(x, y):
 @query("aoi_semi_join", f"{PTS}, t as (select okey % 2000 as k, avg(X) as x, avg(Y) as y from pts group by all) select k, round(x, 6) as x, round(y, 6) as y from t where {_ring_sql('x', 'y')}")
 def aoi_semi_join(spark, sf_dir):
     t = src.pts(spark, sf_dir).groupBy((F.col("okey") % 2000).alias("k")).agg(F.avg("X").alias("x"), F.avg("Y").alias("y"))
-    return inventory.in_area(t, [RING]).select("k", *r6("x", "y"))
+    return inventory.in_area(t, [[RING]]).select("k", *r6("x", "y"))
 
 
 @query("identity_seed", "select s_suppkey as id, list_reduce(list_prepend(42::bigint, list_transform(string_split('tree_a:' || s_suppkey, ''), lambda c: ord(c)::bigint)), lambda s, b: (s * 131 + b) % 2147483647) as seed from supplier")
@@ -369,14 +344,9 @@ def owner_core(spark, sf_dir):
     return inventory.owner_core(inventory.instance_index(src.seg(spark, sf_dir)), 0.5)
 
 
-@query("owned_rows", f"{SEG} select src as segmentation_source, id as instance_id, count(*) as n from seg where id % 7 = 3 group by all")
+@query("owned_rows", f"{SEG} select src as segmentation_source, id as instance_id, count(*) as n from seg group by all")
 def owned_rows(spark, sf_dir):
-    s = src.seg(spark, sf_dir)
-    return inventory.owned_rows(s, inventory.tree_counts(s).where("instance_id % 7 = 3")).groupBy("segmentation_source", "instance_id").agg(F.count("*").alias("n"))
-
-
-@query("owned_rows_all", ORACLE_SQL["owned_rows"].replace(" where id % 7 = 3", ""))
-def owned_rows_all(spark, sf_dir):
+    """Every instance has an owner, so all rows come back."""
     s = src.seg(spark, sf_dir)
     return inventory.owned_rows(s, inventory.tree_counts(s)).groupBy("segmentation_source", "instance_id").agg(F.count("*").alias("n"))
 
@@ -394,7 +364,7 @@ def vector_distance(spark, sf_dir):
     return e.join(F.broadcast(e.where("vec_id = 0").select(F.col("a").alias("b")))).select("vec_id", F.round(fn.p_dist(F.col("a"), F.col("b")), 6).alias("d"))
 
 
-@query("quality_label", "select s_suppkey as id, case when s_suppkey % 5 = 0 then 'dbh_unavailable' else case s_suppkey % 6 when 1 then 'too_few_points' when 2 then 'mean_of_circles' when 3 then 'implausible_spline' when 4 then 'spline_fit' else 'measurement_unavailable' end end as label from supplier")
+@query("quality_label", "select s_suppkey as id, case when s_suppkey % 5 = 0 then 'dbh_unavailable' else case s_suppkey % 6 when 1 then 'too_few_stem_slice_points' when 2 then 'fallback_circle_estimate' when 3 then 'rejected_or_unstable_fit' when 4 then 'spline_fit' else 'measurement_unavailable' end end as label from supplier")
 def quality_label(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").alias("id"), fn.quality_label(F.col("s_suppkey") % 6, F.when(F.col("s_suppkey") % 5 != 0, 0.3)).alias("label"))
@@ -407,20 +377,30 @@ def valid_values(spark, sf_dir):
     return p.groupBy("tree_a").agg(F.count(fn.non_negative(F.col("f"))).alias("n"), F.round(F.avg(fn.non_negative(F.col("f"))), 6).alias("mean"))
 
 
-@query("growth_rule", f"{PTS}, s as (select tree_a, floor(Y)::bigint as sl, avg(X) as r from pts group by all), w as (select tree_a, list(r order by sl) as rs from s group by all) select tree_a, len(rs) as n, list_reduce(list_prepend([1e9, 0], list_transform(rs, lambda r: [r, 0])), lambda s, x: case when x[1] > 1.3 * s[1] then s else [least(s[1], x[1]), s[2] + 1] end)[2]::bigint as kept from w")
-def growth_rule(spark, sf_dir):
-    """A rule in which a slice's fate depends on the ones kept before it: a fold over the ordered slices."""
-    s = src.pts(spark, sf_dir).groupBy("tree_a", F.floor("Y").alias("sl")).agg(F.avg("X").alias("r"))
-    w = s.groupBy("tree_a").agg(F.array_sort(F.collect_list(F.struct("sl", "r"))).alias("rs"))
-    fold = F.aggregate("rs", F.struct(F.lit(1e9).alias("low"), F.lit(0).cast("long").alias("kept")), lambda a, x: F.when(x["r"] > 1.3 * a["low"], a).otherwise(F.struct(F.least(a["low"], x["r"]).alias("low"), (a["kept"] + 1).alias("kept"))))
-    return w.select("tree_a", F.size("rs").cast("long").alias("n"), fold["kept"].alias("kept"))
+_RULES_SQL = """r0 as (select tree_a, floor(Y)::bigint as sl, avg(X) as x from pts group by all),
+r as (select tree_a, sl, x * (1 + 0.9 * ((sl * 7 + tree_a) % 5 = 0)::integer - 0.9985 * ((sl + tree_a) % 11 = 3)::integer) as r from r0),
+w as (select tree_a, list(round(r, 6) order by sl) as rs, median(round(r, 6)) as mid, stddev_samp(round(r, 6)) as sd from r group by all),
+k as (select tree_a, list_transform(rs, lambda x: case when len(rs) > 1 and abs(x - mid) > 2 * sd then null else x end) as rs from w)"""
 
 
-@query("deviation_rule", f"{PTS} select tree_b, count(*) as n from (select tree_b, X, median(X) over (partition by tree_b) as m, stddev_samp(X) over (partition by tree_b) as s from pts) where abs(X - m) > 1.2 * s group by all")
-def deviation_rule(spark, sf_dir):
-    p = src.pts(spark, sf_dir)
-    lim = p.groupBy("tree_b").agg(F.median("X").alias("m"), F.stddev_samp("X").alias("s"))
-    return p.join(F.broadcast(lim), "tree_b").where(F.abs(F.col("X") - F.col("m")) > 1.2 * F.col("s")).groupBy("tree_b").agg(F.count("*").alias("n"))
+@query(
+    "reject_radii",
+    f"{PTS}, {_RULES_SQL} select tree_a, len(rs) as n, len(list_filter(rs, lambda x: x is null)) as outliers, list_reduce(list_prepend([coalesce(rs[1], 'infinity'::double), (rs[1] is not null)::integer], list_transform(rs[2:], lambda x: [x, 0])), lambda s, x: case when x[1] is null or x[1] < 0.04 or x[1] > 1.3 * s[1] then s else [least(s[1], x[1]), s[2] + 1] end)[2]::bigint as kept from k",
+)
+def reject_radii(spark, sf_dir):
+    """The quality rules of slices on each tree's ordered radii, by the fit's own function: mean X by unit of Y, some of
+    them blown up or shrunk so that every rule has cases."""
+    k = F.floor("Y").cast("long")
+    odd = 1 + 0.9 * ((k * 7 + F.col("tree_a")) % 5 == 0).cast("int") - 0.9985 * ((k + F.col("tree_a")) % 11 == 3).cast("int")
+    r = src.pts(spark, sf_dir).groupBy("tree_a", k.alias("sl"), odd.alias("odd")).agg(F.avg("X").alias("r")).select("tree_a", "sl", F.round(F.col("r") * F.col("odd"), 6).alias("r"))
+    lists = r.groupBy("tree_a").agg(F.transform(F.array_sort(F.collect_list(F.struct("sl", "r"))), lambda x: x["r"]).alias("rs"))  # one value for each slice
+
+    def rules(batches):
+        for b in batches:
+            found = [circle.slice_status(x) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([f(x) for x in found], pa.int64()) for f in (len, lambda x: x.count("outlier_2sd"), lambda x: x.count("fitted")))], ["tree_a", "n", "outliers", "kept"])
+
+    return lists.mapInArrow(rules, "tree_a bigint, n bigint, outliers bigint, kept bigint")
 
 
 @query("keep_last", "select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by event_id desc) as r from events) where r = 1")
@@ -499,21 +479,37 @@ def stand_hull(spark, sf_dir):
     return hull.hull_vertices(src.pts(spark, sf_dir), ()).select(F.explode("ring").alias("p")).select("p.x", "p.y")
 
 
+def _stems(spark, sf_dir) -> DataFrame:
+    """One generated stem for each supplier: the driver's tables hold no stems, but the number of trees follows them."""
+    return src.stems(spark, table(spark, sf_dir, "supplier").count())
+
+
 @query("dbh_inventory")
 def dbh_inventory(spark, sf_dir):
-    """Stem diameters need stems: cylinders made by the engine, as the driver's tables hold none."""
-    s = src.stems(spark).select(F.lit("S").alias("segmentation_source"), F.lit("stem").alias("instance_dimension"), "instance_id", "X", "Y", "Z", *[F.lit(None).cast("double").alias(c) for c in ("species", "prob", "score")])
-    return inventory.inventory(s, Config(dbh_runs=3, metrics_grid=0.01))
+    s = _stems(spark, sf_dir).select(F.lit("S").alias("segmentation_source"), F.lit("stem").alias("instance_dimension"), "instance_id", "X", "Y", "Z", *[F.lit(None).cast("double").alias(c) for c in ("species", "prob", "score")])
+    return inventory.inventory(s, Config(dbh_runs=3, metrics_grid=0.01)).drop("dbh_fits", "dbh_slices")
 
 
 @query("circle_fit")
 def circle_fit(spark, sf_dir):
-    cfg = Config(slice_min=1.0, slice_max=2.0, dbh_runs=1)
-    s = src.stems(spark).select(F.lit("S").alias("segmentation_source"), F.lit("stem").alias("instance_dimension"), "instance_id", "X", "Y", "Z")
-    return circle.tree_diameters(s, cfg).select("instance_id", F.round("dbh_m", 4).alias("dbh_m"), "dbh_quality_code", "dbh_band_points")
+    s = _stems(spark, sf_dir).withColumnRenamed("instance_id", "TreeID").withColumn("Znorm", F.col("Z"))
+    return inventory.forest_inventory(s, slice_min=1.0, slice_max=2.0).select("TreeID", *r6("X", "Y", "DBH", digits=4), "quality_flag")
+
+
+@query("simple_inventory")
+def simple_inventory(spark, sf_dir):
+    s = _stems(spark, sf_dir).withColumnRenamed("instance_id", "TreeID").withColumn("Znorm", F.col("Z"))
+    return inventory.forest_inventory_simple(s).select("TreeID", *r6("X", "Y", "DBH", digits=4), "quality_flag", F.round("Height", 4).alias("Height"))
+
+
+def _farthest_sql(n: int) -> str:
+    steps = ["p1 as materialized (select vec_id, v from e order by v[1] desc, vec_id limit 1), s1 as materialized (select e.vec_id, e.v, array_distance(e.v, p1.v) as d from e, p1)"]
+    for i in range(2, n + 1):
+        steps.append(f"p{i} as materialized (select vec_id, v from s{i - 1} order by d desc, vec_id limit 1), s{i} as materialized (select s.vec_id, s.v, least(s.d, array_distance(s.v, p.v)) as d from s{i - 1} s, p{i} p)")
+    return f"with e as materialized (select vec_id, embedding::double[64] as v from embeddings), {', '.join(steps)} " + " union all ".join(f'select {i}::integer as "order", vec_id from p{i}' for i in range(1, n + 1))
 
 
-@query("farthest_points")
+@query("farthest_points", _farthest_sql(10))
 def farthest_points(spark, sf_dir):
     return sampling.fds(table(spark, sf_dir, "embeddings"), 10)
 
@@ -523,17 +519,18 @@ def color_ids(spark, sf_dir):
     return sampling.color_ids(src.pts(spark, sf_dir).withColumn("TreeID", F.col("tree_a")), "TreeID").groupBy("TreeID", "R", "G", "B").agg(F.count("*").alias("n"))
 
 
-@query("seeds_raster")
+_CLUSTERS_SQL = "e as (select a.id as s, b.id as t from v a join v b on (a.X - b.X) ^ 2 + (a.Y - b.Y) ^ 2 <= 1.21 + 1e-12), reach as (select id as s, id as t from v union select r.s, e.t from reach r join e on e.s = r.t), g as (select s as id, min(t) as component from reach group by all)"
+
+
+@query(
+    "seeds_raster",
+    f"""{PTS.replace("with", "with recursive", 1)}, pix as (select floor(X)::bigint as px, floor(Y)::bigint as py, count(*) as n, avg(Z) as z from pts where Z > 1 and Z < 9 group by all), v as (select px * 1000 + py as id, px + 0.5 as X, py + 0.5 as Y from pix where n > (select quantile_cont(n, 0.9) from pix)), {_CLUSTERS_SQL},
+c as (select avg(X) as X, avg(Y) as Y from v join g using (id) group by component) select round(c.X, 6) as X, round(c.Y, 6) as Y, round(coalesce(pix.z, 5), 6) as Z, row_number() over (order by c.X, c.Y, coalesce(pix.z, 5)) as TreeID from c left join pix on floor(c.X) = px and floor(c.Y) = py""",
+)
 def seeds_raster(spark, sf_dir):
-    return graph.find_base_coordinates_raster(src.stems(spark).select("X", "Y", "Z"), 0.1, 0.5, 2.0, 0.5, 0.3)
+    return graph.find_base_coordinates_raster(src.pts(spark, sf_dir).select("X", "Y", "Z"), 1.0, 1.0, 9.0, 0.9, 1.1).select(*r6("X", "Y", "Z"), "TreeID")
 
 
 @query("terrain_model")
 def terrain_model(spark, sf_dir):
     return terrain.make_dtm(src.pts(spark, sf_dir).select("X", "Y", "Z", F.lit(2).alias("Classification")), 1.0, candidate=1.0)
-
-
-def ranked_seeds(df: DataFrame, n: int) -> DataFrame:
-    """Top n by distance from (id, seed, dist): a window, for tables that hold all distances already."""
-    w = Window.partitionBy("id").orderBy("dist", "seed")
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -12,8 +12,9 @@ UNITS = {"x": "m", "y": "m", "z": "m", "dbh_m": "m", "height_m": "m", "convex_hu
 
 
 def ordered(df: DataFrame) -> DataFrame:
-    """Strings by bytes, then ids."""
-    return df.orderBy(*[k for k in KEYS if k in df.columns])
+    """Strings by bytes, then ids; seeds by their tree."""
+    keys = [k for k in (*KEYS, "TreeID") if k in df.columns]
+    return df.orderBy(*keys) if keys else df
 
 
 def with_units(df: DataFrame) -> DataFrame:

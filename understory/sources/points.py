@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import finite, in_ring
+from ..functions.scalar import finite
 from ..model import STANDARD, ConfigError, SegmentationSpec
 
 
@@ -64,7 +64,7 @@ def valid_instance(instance: Column, non_tree: tuple[int, ...] = (0,)) -> Column
 def unpivot(df: DataFrame, specs: tuple[SegmentationSpec, ...], keep: tuple[str, ...] = ("X", "Y", "Z")) -> DataFrame:
     """One row for each point and segmentation with a valid instance: a single scan feeds all segmentations."""
     require(df, [*keep, *(c for s in specs for c in s.columns)])
-    one = lambda s: F.struct(F.lit(s.label).alias("segmentation_source"), F.lit(s.instance).alias("instance_dimension"), F.when(valid_instance(F.col(s.instance), s.non_tree_ids), F.col(s.instance).cast("long")).alias("instance_id"), *[(F.col(c).cast("double") if c else F.lit(None).cast("double")).alias(n) for c, n in ((s.species, "species"), (s.probability, "prob"), (s.score, "score"))])
+    one = lambda s: F.struct(F.lit(s.label).alias("segmentation_source"), F.lit(s.instance).alias("instance_dimension"), F.when(valid_instance(F.col(s.instance), s.non_tree_ids), safe_id(F.col(s.instance))).alias("instance_id"), *[(F.col(c).cast("double") if c else F.lit(None).cast("double")).alias(n) for c, n in ((s.species, "species"), (s.probability, "prob"), (s.score, "score"))])
     out = df.select(*keep, F.explode(F.array(*map(one, specs))).alias("_s")).select(*keep, "_s.*")
     return out.where("instance_id is not null")
 
@@ -97,8 +97,8 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("species_id", F.col("species_id").cast("double"))
 
 
-def read_aoi(spark: SparkSession, path: str) -> list[list[tuple[float, float]]]:
-    """Outer rings of the (multi)polygons of a GeoJSON file; other geometries are an error."""
+def read_aoi(spark: SparkSession, path: str) -> list[list[list[tuple[float, float]]]]:
+    """The (multi)polygons of a GeoJSON file as lists of rings, the outer one and its holes; other geometries are an error."""
     import json
 
     text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())  # one small file
@@ -106,22 +106,19 @@ def read_aoi(spark: SparkSession, path: str) -> list[list[tuple[float, float]]]:
     def geometries(x):
         if x.get("type") == "FeatureCollection":
             return [g for f in x["features"] for g in geometries(f)]
+        if x.get("type") == "GeometryCollection":
+            return [g for f in x["geometries"] for g in geometries(f)]
         return geometries(x["geometry"]) if x.get("type") == "Feature" else [x]
 
-    rings = []
+    out = []
     for g in geometries(json.loads(text)):
         if g["type"] not in ("Polygon", "MultiPolygon"):
             raise ConfigError("the area of interest must hold polygons")
         for poly in [g["coordinates"]] if g["type"] == "Polygon" else g["coordinates"]:
-            ring = [(float(p[0]), float(p[1])) for p in poly[0]]
-            rings.append(ring[:-1] if ring[0] == ring[-1] else ring)
-    return rings
-
-
-def in_aoi(x: Column, y: Column, rings: list[list[tuple[float, float]]]) -> Column:
-    out = F.lit(False)
-    for r in rings:
-        out = out | in_ring(x, y, r)
+            rings = [[(float(p[0]), float(p[1])) for p in r] for r in poly]
+            out.append([r[:-1] if r[0] == r[-1] else r for r in rings])
+    if not out:
+        raise ConfigError("the area of interest is empty")
     return out
 
 
