@@ -399,6 +399,46 @@ def test_sampling_and_colours(spark):
     assert sampling.color_ids(df.where("TreeID = 0")).count() == 1
 
 
+def test_streams(spark, tmp_path):
+    """A point that comes again counts once; a result of many batches is one table; an empty folder gives none."""
+    from understory.streaming import accumulate
+
+    schema = "event_id long, ts timestamp, value double"
+    for i in range(3):
+        spark.createDataFrame([(j, f"2024-01-01 00:0{i}:00", 1.0 * j) for j in range(i, i + 3)], "event_id long, t string, value double").select("event_id", F.col("t").cast("timestamp").alias("ts"), "value").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    s = accumulate.read_stream(spark, f"{tmp_path}/in", schema, 1)
+    assert sorted(r.event_id for r in accumulate.run_available(accumulate.distinct_points(s), "append").collect()) == [0, 1, 2, 3, 4]
+    total = accumulate.run_available(accumulate.accumulate(s, ("event_id",), "value"))
+    assert {r.event_id: r.point_count for r in total.collect()} == {0: 1, 1: 2, 2: 3, 3: 2, 4: 1}
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none")
+    assert accumulate.run_available(accumulate.accumulate(accumulate.read_stream(spark, f"{tmp_path}/none", schema), ("event_id",), "value")).count() == 0
+
+
+def test_seeds_by_features(spark):
+    """Clusters of stem-like points; small ones and flat ones go."""
+    rows = [(x + 0.01 * i, 0.0, 0.6 + 0.1 * i, 0.95, 0.8, 1) for x, n in ((0.0, 8), (10.0, 9), (20.0, 2)) for i in range(n)] + [(30.0, 0.0, 1.0, 0.1, 0.9, 1), (40.0, 0.0, 1.0, 0.95, 0.9, 2)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, X double, Y double, Z double, Verticality double, Planarity double, Classification int")
+    got = graph.find_base_coordinates_geom(df, res=0.5, min_cluster_size=3).orderBy("TreeID").collect()
+    assert [(r.TreeID, round(r.X), round(r.Z, 1)) for r in got] == [(1, 0, 0.6), (2, 10, 0.6)]
+    assert graph.find_base_coordinates_geom(df, res=0.5).count() == 1  # over the median size of 8
+    with pytest.raises(ValueError):
+        graph.find_base_coordinates_geom(df.where("X > 25"))
+
+
+def test_small_helpers(spark):
+    p = spark.createDataFrame([(1.0, 2.0, 3.0, 5.0, "x", 2.5)], "X double, Y double, Z double, Intensity double, note string, score float")
+    out = src.add_las_attributes(p)
+    assert out.columns == ["X", "Y", "Z", "Intensity", "score"] and dict(out.dtypes)["Intensity"] == "int" and dict(out.dtypes)["score"] == "double"
+    ids = lambda *v: spark.createDataFrame([(float(x),) for x in v], "i double").select(src.safe_id(F.col("i")).alias("i"))
+    assert [r.i for r in ids(1, 2**53).collect()] == [1, 2**53]
+    for bad in (1.5, 2.0**60):
+        with pytest.raises(PySparkException):
+            ids(bad).collect()
+    fn.register(spark)
+    r = spark.sql("select p_dist(array(0D, 3D), array(4D, 0D)) as d, point_circle_distance(3D, 4D, 0D, 0D, 2D) as c, point_center_angle(0D, 1D, 0D, 0D) as a").first()
+    assert (r.d, r.c, r.a) == (5.0, 3.0, 90.0)
+
+
 def test_utm(spark):
     lon, lat = fn.utm_to_wgs84(F.lit(500000.0), F.lit(5000000.0), 32632)
     r = spark.range(1).select(lon.alias("a"), lat.alias("b")).first()

@@ -458,12 +458,17 @@ def batch_aggregates(spark, sf_dir):
 @query("streaming_accumulate", ORACLE_SQL["batch_aggregates"])
 def streaming_accumulate(spark, sf_dir):
     """The same over micro-batches of the table's files."""
-    import uuid
-
     t = table(spark, sf_dir, "events")
     pattern = f"{sf_dir}/events.parquet"
     s = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{sf_dir}/events.parque[t]" if "://" not in pattern else pattern)
-    return accumulate.run_available(accumulate.accumulate(s, ("user_id",), "value"), f"acc_{uuid.uuid4().hex[:8]}").withColumn("height_m", F.round("height_m", 6))
+    return accumulate.run_available(accumulate.accumulate(s, ("user_id",), "value")).withColumn("height_m", F.round("height_m", 6))
+
+
+@query("event_windows", "select cast(date_trunc('hour', ts) as timestamp) as window_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all")
+def event_windows(spark, sf_dir):
+    """Event-time windows; in a batch no row is late."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return accumulate.windowed(e).withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn("total", F.round("total", 4))
 
 
 # group functions and iterations: rows only here, fixtures in tests
@@ -480,8 +485,8 @@ def stand_hull(spark, sf_dir):
 
 
 def _stems(spark, sf_dir) -> DataFrame:
-    """One generated stem for each supplier: the driver's tables hold no stems, but the number of trees follows them."""
-    return src.stems(spark, table(spark, sf_dir, "supplier").count())
+    """A generated stem for ten suppliers: the driver's tables hold no stems, but the number of trees follows them."""
+    return src.stems(spark, max(4, table(spark, sf_dir, "supplier").count() // 10))
 
 
 @query("dbh_inventory")

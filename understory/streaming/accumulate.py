@@ -3,9 +3,13 @@ batch gives, as all state is counts, sums, minima and maxima."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.storage import shared_folder
+
 
 def read_stream(spark: SparkSession, path: str, schema, per_trigger: int = 4) -> DataFrame:
     """Parquet files as a stream, a few files a trigger: that bounds what is in flight."""
@@ -28,9 +32,18 @@ def distinct_points(points: DataFrame, key: str = "event_id", time: str = "ts",
     return points.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
-def run_available(df: DataFrame, name: str, mode: str = "complete", checkpoint: str | None = None) -> DataFrame:
-    """Work off what is there, then stop; the result as a table."""
-    w = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True)
-    q = (w.option("checkpointLocation", checkpoint) if checkpoint else w).start()
+def run_available(df: DataFrame, mode: str = "complete", checkpoint: str | None = None) -> DataFrame:
+    """Work off what is there, then stop; the result as a written table. Nothing of it passes the driver: each batch is
+    written to the shared folder, of a complete result the last one counts, of appended rows all."""
+    spark, folder, seen = df.sparkSession, f"{shared_folder(df.sparkSession)}/understory-{uuid.uuid4().hex}", []
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{number}")
+        seen.append(number)
+
+    q = df.writeStream.outputMode(mode).foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", checkpoint or f"{folder}-state").start()
     q.awaitTermination()
-    return df.sparkSession.table(name)
+    paths = [f"{folder}/{n}" for n in sorted(set(seen))]
+    if not paths:
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(*(paths[-1:] if mode == "complete" else paths))
