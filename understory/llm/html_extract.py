@@ -1,14 +1,19 @@
 """HTML extraction: main text from the parser's event stream by text-to-tag ratio.
 
-The standard library's parser streams a page's events; block elements cut it into lines, each with its characters and
-its tags. The ratios of the lines that no boilerplate element holds are smoothed with a Gaussian and split into two
-clusters by an iterated threshold; the lines of the upper cluster mark the content region. The region is then closed
-under the page's structure: the outermost article or main elements that hold marked lines, and every line of it is
-given, so that short paragraphs and headings aren't lost. A page without them gives every line that no boilerplate
-element holds: there a title or a closing paragraph may stand in any element, and its ratio doesn't tell it.
+The standard library's parser streams a page's events; block elements cut it into lines, each with its characters, its
+tags and the characters that stand in links. What can never be main text is left out there (by tag, role, hidden style
+or a whole class or id name). The text-to-tag ratios of the other lines are smoothed with a Gaussian and split into two
+clusters by an iterated threshold. The lines of the upper cluster select the content region:
+
+* Where they lie in article or main elements, the region is those outermost elements of the page that hold text of
+  their own (an article of links alone is a teaser); all their lines are given, so no short paragraph or heading is lost.
+* On other pages the region is the lines of the upper cluster, the lines beside them in the smallest element that holds
+  them all, and the lines next to these without a break. A line of the lower cluster whose text is mostly links (a menu
+  without a telling name) is no part of it and breaks it.
 
 Defined results: a null, empty or text-free page gives the empty text; unclosed and crossed tags are tolerated; pages
-are read whole; repeated rows repeat; an empty table gives an empty table; only the named columns are read.
+are parsed whole, however long; lines of equal ratio fall on the same side of the threshold; repeated rows repeat; an
+empty table gives an empty table; only ``id_col``, ``url_col`` and ``html_col`` are read.
 """
 
 from __future__ import annotations
@@ -29,13 +34,19 @@ DROP = frozenset("script style noscript template iframe object embed svg canvas
 SCOPE = frozenset("article main section div body html nav footer aside form header table ul ol dl blockquote figure".split())
 #: A class or id names boilerplate if it is such a name as a whole, alone or with words of place and form around it
 #: (main-nav, comment-list, footer__links). Any further word makes it another name: has-sidebar, cookie-recipes.
-_NAME = r"ads?|adverts?|advertisements?|adsense|sponsored|sponsors?|promos?|promotions?|banners?|nav|navbar|navigation|menus?|sidebars?|side[_-]?bar|footer|breadcrumbs?|comments?|disqus|replies|reply|respond|cookies?|cookie(?:bar|banner|consent|notice)|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscribe|subscription|signup|sign-?in|login|share|sharing|social|related|recommended|widgets?|toolbar|pagination|pager|skip-?link|contentinfo|complementary"
+_NAME = r"ads?|adverts?|advertisements?|adsense|sponsored|sponsors?|promos?|promotions?|banners?|(?:top|side|sub|bottom|foot|head|site|main)?nav(?:bar|list|menu|links?)?|navigation|menus?|sidebars?|side[_-]?bar|footer|breadcrumbs?|comments?|disqus|replies|reply|respond|cookies?|cookie(?:bar|banner|consent|notice)|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscribe|subscription|signup|sign-?in|login|share|sharing|social|related|recommended|widgets?|toolbar|pagination|pager|skip-?link|contentinfo|complementary"
 _HEADER = r"masthead|header|topbar"
 _PLACE = r"(?:site|page|main|global|primary|secondary|top|bottom|left|right|upper|lower|inner|outer|mobile|desktop|sticky|fixed|list|lists|items?|links?|buttons?|icons?|area|box|block|container|wrapper|wrap|inner|bar|row|unit|slot|section|form|title|heading|text|message|thread|posts?|entry|articles?|stories|media|thumb|\d+)"
 _NAMES = re.compile(rf"(?:{_PLACE}[_-]+)*(?:{_NAME})(?:[_-]+(?:{_NAME}|{_PLACE}))*", re.I)
 _HEADERS = re.compile(rf"(?:(?:site|page|main|global|top)[_-]+)*(?:{_HEADER})(?:[_-]+(?:inner|outer|container|wrapper|wrap|bar|row|top|bottom))*", re.I)
 #: Marks a tag among the events.
 TAG = object()
+
+
+class Link(str):
+    """Text in a link."""
+
+
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -47,7 +58,7 @@ class Lines(HTMLParser):
     """Events outside dropped elements, in page order. Whether an element that only a class or id names is dropped is
     known at the page's end: not if it holds article, main or most of the page's text (beside an article or main
     with text, most doesn't count: that text is the page's). ``lines`` then gives
-    (text, tags seen, element around it) for each line."""
+    (text, tags seen, element around it, characters in links) for each line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -62,11 +73,11 @@ class Lines(HTMLParser):
     def dropped(self) -> bool:
         return bool(self.stack) and self.stack[-1][2]
 
-    def lines(self) -> list[tuple[str, int, int]]:
+    def lines(self) -> list[tuple[str, int, int, int]]:
         out = self.left_out()
-        lines: list[tuple[str, int, int]] = []
+        lines: list[tuple[str, int, int, int]] = []
         parts: list[str] = []
-        tags = 0
+        tags = links = 0
         for kind, e in self.events:
             if e in out:
                 continue
@@ -74,11 +85,13 @@ class Lines(HTMLParser):
                 tags += 1
             elif kind is not None:
                 parts.append(kind)
+                if type(kind) is Link:
+                    links += sum(map(len, kind.split()))
             else:
                 text = " ".join("".join(parts).split())
                 if text:
-                    lines.append((text, tags, e))
-                    tags = 0
+                    lines.append((text, tags, e, links))
+                    tags = links = 0
                 parts.clear()
         return lines
 
@@ -167,7 +180,7 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         if not self.dropped():
-            self.event(data)
+            self.event(Link(data) if any(t == "a" for t, _, _ in self.stack[-4:]) else data)
 
 
 def smooth(xs: list[float], sigma: float = 1.0) -> list[float]:
@@ -196,16 +209,8 @@ def threshold(xs: list[float]) -> float:
     return t
 
 
-def extract(html: str | None, sigma: float = 1.0) -> str:
-    parser = Lines()
-    parser.feed(html or "")
-    parser.close()
-    lines, elements = parser.lines(), parser.elements
-    if not lines:
-        return ""
-    ratios = smooth([len(t) / max(1, n) for t, n, _ in lines], sigma)
-    border = threshold(ratios)
-    marked = [i for i, x in enumerate(ratios) if x >= border]
+def content(lines: list[tuple[str, int, int, int]], elements: list[tuple[str, int]], marked: set[int], dull: list[bool]) -> list[int]:
+    """The lines of the region that the marked lines select. dull: those of links alone, which are no part of it."""
 
     def around(e: int) -> list[int]:
         out = []
@@ -214,15 +219,38 @@ def extract(html: str | None, sigma: float = 1.0) -> str:
             e = elements[e][1]
         return out
 
-    chains = [around(e) for _, _, e in lines]
-    roots: set[int] = set()
+    chains = [around(e) for _, _, e, _ in lines]
     for kind in ("article", "main"):
-        for i in marked:
-            if own := [e for e in chains[i] if elements[e][0] == kind]:
-                roots.add(own[-1])
-        if roots:
-            break
-    return "\n".join(t for (t, _, _), c in zip(lines, chains) if not roots or roots & set(c))
+        outer = [next((e for e in reversed(c) if elements[e][0] == kind), -1) for c in chains]
+        if any(outer[i] >= 0 for i in marked):
+            roots = {e for i, e in enumerate(outer) if e >= 0 and not dull[i]}
+            return [i for i, e in enumerate(outer) if e in roots]
+    common = set.intersection(*(set(chains[i]) for i in marked))
+    inner = next((e for e in chains[min(marked)] if e in common), -1)  # the smallest element around all marked lines
+    keep = [i in marked or not dull[i] and (inner < 0 or inner in c) for i, c in enumerate(chains)]
+    for order in (range(1, len(lines)), range(len(lines) - 2, -1, -1)):
+        step = order.step
+        for i in order:
+            keep[i] |= keep[i - step] and not dull[i]
+    return [i for i, k in enumerate(keep) if k]
+
+
+def extract(html: str | None, sigma: float = 1.0, cluster: bool = True) -> str:
+    """The main text. Without ``cluster`` every line counts as one of the upper cluster (for tests: what the method adds)."""
+    parser = Lines()
+    parser.feed(html or "")
+    parser.close()
+    lines = parser.lines()
+    if not lines:
+        return ""
+    raw = [len(t) / max(1, n) for t, n, _, _ in lines]
+    ratios = smooth(raw, sigma)
+    border = threshold(ratios)
+    # smoothing lifts the links beside a paragraph: their own ratio tells them
+    dull = [cluster and x < border and 2 * links > sum(map(len, t.split())) for x, (t, _, _, links) in zip(raw, lines)]
+    marked = {i for i, x in enumerate(ratios) if (x >= border or not cluster) and not dull[i]}
+    marked = marked or {i for i, d in enumerate(dull) if not d}  # the largest ratio is never under the border
+    return "\n".join(lines[i][0] for i in content(lines, parser.elements, marked, dull))
 
 
 def extract_main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sigma: float = 1.0) -> DataFrame:
