@@ -9,8 +9,9 @@ are sent to every task if their counted size is under ``BROADCAST_LINES``, else
 that a host with a third of all pages is spread.
 
 Defined results: a null text stays null; blank lines stay; a null host is a host of its own; a page keeps its row even
-if no line is left (empty text); repeated rows repeat; an empty table gives an empty table; further columns pass
-through untouched, whatever their names.
+if no line is left (empty text); lines on exactly ``max_ratio`` of the pages stay; repeated rows repeat; an empty table
+gives an empty table; further columns pass through untouched, whatever their names, but for one named like
+``dropped_col``, which gives way to the result.
 """
 
 from __future__ import annotations
@@ -25,30 +26,34 @@ MAX_RATIO, MIN_PAGES, BROADCAST_LINES, SALTS = 0.1, 5, 500_000, 32
 
 def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, line_hash, pages, host_pages) of the boilerplate lines."""
-    pages = docs.where(F.col(text_col).isNotNull()).select(F.col(host_col).alias("host"), F.xxhash64(text_col).alias("page"), F.expr(f"array_distinct(transform(filter(split(`{text_col}`, '\\n'), x -> trim(x) <> ''), x -> xxhash64(trim(x))))").alias("lines"))
+    pages = docs.select(F.col(f"`{host_col}`").alias("host"), F.col(f"`{text_col}`").alias("t")).where("t is not null").select("host", F.xxhash64("t").alias("page"), F.expr("array_distinct(transform(filter(split(t, '\\n'), x -> trim(x) <> ''), x -> xxhash64(trim(x))))").alias("lines"))
     totals = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     counts = pages.select("host", "page", F.explode("lines").alias("line_hash")).distinct().groupBy("host", "line_hash").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     totals = totals.withColumnRenamed("host", "_host")
     return counts.join(totals, counts["host"].eqNullSafe(totals["_host"])).where(F.col("pages") > max_ratio * F.col("host_pages")).select("host", "line_hash", "pages", "host_pages")
 
 
-def line_dedup(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """docs with its text cleaned in place, and ``_dropped``, the lines that left."""
+def line_dedup(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, dropped_col: str = "_dropped") -> DataFrame:
+    """docs with its text cleaned in place, and ``dropped_col``, the lines that left."""
     saved = Saved(docs.sparkSession)
     bad = saved(boilerplate(docs, host_col, text_col, max_ratio, min_pages))
-    hosts = bad.groupBy(F.col("host").alias("_host")).agg(F.collect_set("line_hash").alias("_bad"))  # bounded by lines / max_ratio
+    hosts = bad.groupBy("host").agg(F.collect_set("line_hash").alias("bad"))  # bounded by lines / max_ratio
+    # the row is one struct: its names meet no others
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{host_col}`").alias("h"), F.col(f"`{text_col}`").alias("t"))
     if bad.count() <= BROADCAST_LINES:
-        out = docs.join(F.broadcast(hosts), docs[host_col].eqNullSafe(hosts["_host"]), "left")
+        out = rows.join(F.broadcast(hosts), rows["h"].eqNullSafe(hosts["host"]), "left")
     else:
-        salted = hosts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = docs.withColumn("_row_salt", F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int"))
-        out = rows.join(salted, rows[host_col].eqNullSafe(salted["_host"]) & (rows["_row_salt"] == salted["_salt"]), "left").drop("_salt", "_row_salt")
-    keep = f"filter(split(`{text_col}`, '\\n'), x -> trim(x) = '' or not array_contains(_bad, xxhash64(trim(x))))"
-    # most hosts have no boilerplate: their texts aren't taken apart
-    out = out.withColumn("_kept", F.expr(f"if(_bad is null, cast(null as array<string>), {keep})"))
-    out = out.withColumn("_dropped", F.expr(f"if(_bad is null or `{text_col}` is null, 0, size(split(`{text_col}`, '\\n')) - size(_kept))"))
-    text = F.expr(f"if(_dropped = 0, `{text_col}`, array_join(_kept, '\\n'))")
-    return out.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], "_dropped")
+        salted = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("row_salt", F.pmod(F.xxhash64("t"), F.lit(SALTS)).cast("int"))
+        out = rows.join(salted, rows["h"].eqNullSafe(salted["host"]) & (rows["row_salt"] == salted["salt"]), "left")
+    # most texts hold no boilerplate: those are not taken apart again. The intersection is by hash, not line by line
+    found = F.expr("array_intersect(transform(split(t, '\\n'), x -> xxhash64(trim(x))), bad)")
+    out = out.withColumn("found", F.when(F.col("bad").isNotNull() & F.col("t").isNotNull(), found))
+    keep = "filter(split(t, '\\n'), x -> trim(x) = '' or not array_contains(found, xxhash64(trim(x))))"
+    out = out.withColumn("kept", F.expr(f"if(size(found) > 0, {keep}, cast(null as array<string>))"))
+    out = out.withColumn("gone", F.expr("if(kept is null, 0, size(split(t, '\\n')) - size(kept))"))
+    text = F.expr("if(gone = 0, t, array_join(kept, '\\n'))")
+    return out.select(*[text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c != dropped_col], F.col("gone").alias(dropped_col))
 
 
 def op4_line_dedup(spark, sf_dir):
