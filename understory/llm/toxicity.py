@@ -8,7 +8,9 @@ text's length, go through a logistic curve fitted on the same sample.
 
 Defined results: null and empty texts match nothing and get the curve's lowest score; texts are scanned whole; repeated
 rows repeat; an empty table gives an empty table; without labelled toxic rows the lexicon is empty and all scores are
-``NEUTRAL``; only ``id_col``, ``text_col`` and the labels' two columns are read.
+``NEUTRAL``; of equal labels the toxic one counts, of words with equal counts the first by code points; only ``id_col``,
+``text_col`` and the labels' two columns are read; other columns pass through, but for those named like ``score_col``
+and ``matches_col``, which give way to the results.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Saved, map_texts, table
+from .common import Saved, columns, map_texts, table
 
 #: Labelled rows of each class that a fit uses at most (those with the smallest hash of their id).
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 4_000
@@ -173,19 +175,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return out
 
 
-def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each input row: its id, ``score``, ``n_matches``. Narrow; the lexicon is bounded by MOST_ENTRIES."""
-    names = docs.columns
+def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", score_col: str = "_score", matches_col: str = "_matches") -> DataFrame:
+    """docs with ``score_col`` and ``matches_col``. Narrow; the lexicon is bounded by MOST_ENTRIES."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (score_col, matches_col) or c == text_col])
+    names, at = [*docs.columns, score_col, matches_col], docs.columns.index(text_col)
 
     def run(batches):
         auto = lexicon.automaton()
         c0, c1, c2 = lexicon.curve
         for b in batches:
-            x = [features(auto, t) for t in b.column(names.index(text_col)).to_pylist()]
+            x = [features(auto, t) for t in b.column(at).to_pylist()]
             s = [1 / (1 + math.exp(-max(-30.0, min(30.0, c0 + c1 * u + c2 * v)))) for u, v, _ in x]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64()), pa.array([r[2] for r in x], pa.int32())], [*names, "_score", "_matches"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64()), pa.array([r[2] for r in x], pa.int32())], names)
 
-    return map_texts(docs, run, ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", _score double, _matches int")
+    return map_texts(docs, run, f"{columns(docs)}, `{score_col}` double, `{matches_col}` int")
 
 
 def train_rows(labels: DataFrame) -> DataFrame:
