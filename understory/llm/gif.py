@@ -8,8 +8,11 @@ Code widths depend only on a code's place after the last clear code, so a stream
 operations, segment by segment; the string table then needs one step for each code, not for each pixel.
 
 Defined results: null texts count as empty (64 zero bytes); texts are stored whole, in frames of at most 256 KiB;
-bytes that are no GIF raise ValueError in ``read_gif`` and give null frames in ``gif_frames``; repeated rows repeat; an
-empty table gives an empty table; only ``id_col`` and the text or media column are read.
+bytes that are no GIF, or a broken one (a code that can't stand, a code size outside 2 to 8, fewer pixels than the frame
+has, a cut block, a canvas over ``MOST_PIXELS``), raise ValueError in ``read_gif`` and give null frames in ``gif_frames``; a frame reaching over the
+canvas is drawn as far as it lies on it; repeated rows repeat; an empty table gives an empty table; ``text_gifs`` reads
+only its two columns; ``gif_frames`` passes other columns through, but for one named like ``frames_col``, which gives
+way to the result.
 """
 
 from __future__ import annotations
@@ -21,10 +24,13 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import map_texts, table
+from .common import columns, map_texts, table
 
 COLUMNS, ROWS = 64, 4096
+#: Pixels of a canvas that is read at most: a broken header must not ask for gigabytes.
+MOST_PIXELS = 1 << 26
 _K = np.arange(1 << 16)
 WIDTHS = {m: np.minimum(12, np.floor(np.log2((1 << m) + 2 + np.maximum(_K - 1, 0))).astype(np.int64) + 1) for m in range(2, 9)}
 _SINGLE = [bytes([i]) for i in range(256)]
@@ -70,6 +76,8 @@ def pack(codes: list[int]) -> bytes:
 
 def lzw_decode(data: bytes, min_size: int, n_pixels: int) -> bytes:
     """Decode a GIF LZW stream; raises ValueError on a code that can't stand."""
+    if min_size not in WIDTHS:
+        raise ValueError(f"LZW code size {min_size}")
     raw = np.frombuffer(data + b"\0" * 8, np.uint8).astype(np.int64)
     clear, end, bits = 1 << min_size, (1 << min_size) + 1, len(data) * 8
     out, got, at = [], 0, 0
@@ -149,7 +157,7 @@ def histogram(rgb: np.ndarray) -> np.ndarray:
 
 def read_gif(data: bytes) -> list[dict]:
     """The frames of a GIF: start_ms, delay_ms, disposal, the patch's place and palette indices, the whole canvas after
-    the frame (RGBA) and its histogram."""
+    the frame (RGBA) and the histogram of the patch's place on it."""
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     try:
@@ -165,6 +173,8 @@ def _frames(data: bytes) -> list[dict]:
         n = 2 << (flags & 7)
         palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3)
         at += 3 * n
+    if width * height > MOST_PIXELS:
+        raise ValueError(f"a canvas of {width} x {height} pixels")
     canvas = np.zeros((height, width, 4), np.uint8)
     frames, disposal, delay, clear, start = [], 0, 0, None, 0
     while (kind := data[at]) != 0x3B:
@@ -186,7 +196,9 @@ def _frames(data: bytes) -> list[dict]:
             size = data[at]
             stream, at = _blocks(data, at + 1)
             pixels = lzw_decode(stream, size, w * h)
-            grid = np.frombuffer(pixels.ljust(w * h, b"\0"), np.uint8).reshape(h, w)
+            if len(pixels) < w * h:
+                raise ValueError("a frame has too few pixels")
+            grid = np.frombuffer(pixels, np.uint8).reshape(h, w)
             if f & 0x40:
                 order = np.concatenate([np.arange(a, h, s) for a, s in ((0, 8), (4, 8), (2, 4), (1, 2))])
                 flat = np.empty_like(grid)
@@ -201,7 +213,7 @@ def _frames(data: bytes) -> list[dict]:
             else:
                 on = seen != clear
                 part[on, :3], part[on, 3] = rgb[on], 255
-            frames.append({"start_ms": start, "delay_ms": delay * 10, "disposal": disposal, "x": x, "y": y, "w": w, "h": h, "pixels": grid.tobytes(), "canvas": canvas.copy(), "histogram": histogram(canvas[..., :3])})
+            frames.append({"start_ms": start, "delay_ms": delay * 10, "disposal": disposal, "x": x, "y": y, "w": w, "h": h, "pixels": grid.tobytes(), "canvas": canvas.copy(), "histogram": histogram(part[..., :3])})
             start += delay * 10
             if disposal == 2:
                 part[...] = 0
@@ -228,8 +240,9 @@ def text_gifs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 _FRAME = "struct<start_ms:int,delay_ms:int,disposal:int,x:int,y:int,w:int,h:int,pixels:binary,histogram:array<bigint>>"
 
 
-def gif_frames(df: DataFrame, media_col: str = "media") -> DataFrame:
-    """df with ``frames``: the timed frames of the GIF in media_col (null if it is null or none). Narrow."""
+def gif_frames(df: DataFrame, media_col: str = "media", frames_col: str = "frames") -> DataFrame:
+    """df with ``frames_col``: the timed frames of the GIF in media_col (null if it is null or none). Narrow."""
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c != frames_col or c == media_col])
     names = df.columns
 
     def run(batches):
@@ -242,9 +255,9 @@ def gif_frames(df: DataFrame, media_col: str = "media") -> DataFrame:
                     rows.append(None if m is None else [{k: f[k] for k in keys} | {"pixels": f["pixels"], "histogram": f["histogram"].tolist()} for f in read_gif(m)])
                 except ValueError:
                     rows.append(None)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, kind)], [*names, "frames"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, kind)], [*names, frames_col])
 
-    return map_texts(df, run, ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + f", frames array<{_FRAME}>")
+    return map_texts(df, run, f"{columns(df)}, `{frames_col}` array<{_FRAME}>")
 
 
 def op8_media_columns(spark, sf_dir):
