@@ -7,12 +7,13 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from understory.functions import crs
 from understory.functions import scalar as fn
 from understory.model import Config, ConfigError, SegmentationSpec, identity_seed, parse_args, partition_count
 from understory.operators import circle, features, graph, hull, inventory, neighbors, sampling, terrain, voxel
 from understory.operators.nearest import nearest_points
 from understory.plans import run as plans
-from understory.sources import output
+from understory.sources import copc, output
 from understory.sources import points as src
 
 F5 = [(1.0, 1.0, 3.0, 1, 7.0, 0.8, 0.4), (2.0, 2.0, 5.0, 2, 8.0, 0.7, 0.5), (3.0, 3.0, 4.0, 1, 7.0, 0.9, 0.6), (4.0, 4.0, 6.0, 2, 8.0, 0.6, 0.7)]
@@ -501,6 +502,58 @@ def test_segmentation_run(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/out/effective_seeds.tsv", sep="\t", header=True).columns == ["X", "Y", "Z", "TreeID"]
 
 
+def test_changed_input(spark, tmp_path):
+    cloud(spark).coalesce(1).write.parquet(f"{tmp_path}/in.parquet")
+    one = plans.input_stamp(spark, f"{tmp_path}/in.parquet")
+    assert one == plans.input_stamp(spark, f"{tmp_path}/in.parquet")
+    cloud(spark).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in.parquet")
+    assert one != plans.input_stamp(spark, f"{tmp_path}/in.parquet")
+
+
+UTM1 = 'PROJCS["WGS 84 / UTM zone 32N",GEOGCS["WGS 84",DATUM["WGS_1984",SPHEROID["WGS 84",6378137,298.257223563]],UNIT["degree",0.0174532925199433]],PROJECTION["Transverse_Mercator"],PARAMETER["central_meridian",9],UNIT["metre",1]{}]'
+UTM3 = 'PROJCRS["a",BASEGEOGCRS["WGS 84",DATUM["World",ELLIPSOID["WGS 84",6378137,298.25]]],CONVERSION["c",METHOD["Transverse Mercator"],PARAMETER["x",9,ANGLEUNIT["degree",0.017]]],CS[Cartesian,3],AXIS["(E)",east,ORDER[1],LENGTHUNIT["metre",1]],AXIS["(N)",north,ORDER[2],LENGTHUNIT["metre",1]],AXIS["(h)",up,ORDER[3],LENGTHUNIT["metre",1]]]'
+
+
+def test_coordinate_systems():
+    one, coded = UTM1.format(""), UTM1.format(',AUTHORITY["EPSG","32632"]')
+    assert crs.require_metric(one) == one and crs.epsg(coded) == 32632 and crs.epsg(one) is None
+    for bad in (None, "", "EPSG", 'GEOGCS["WGS 84",UNIT["degree",0.017]]', one.replace('UNIT["metre",1]', 'UNIT["US survey foot",0.3048006]'), "PROJCS[", 'PROJCS["a"'):
+        with pytest.raises(ConfigError):
+            crs.require_metric(bad)
+    flat = crs.horizontal(UTM3)
+    assert "CS[Cartesian,2]" in flat and "ORDER[3]" not in flat and "ORDER[2]" in flat and crs.horizontal(one) == one and crs.require_metric(flat)
+    assert crs.same_horizontal(UTM3, flat) and crs.same_horizontal(one, one.replace('PROJCS["WGS 84 / UTM zone 32N"', 'PROJCS["mine"').replace(",9]", ",9.0]"))
+    assert crs.same_horizontal(coded, f'COMPD_CS["x",{coded},VERT_CS["h",UNIT["metre",1]]]') and not crs.same_horizontal(one, one.replace(",9]", ",15]"))
+    assert not crs.same_horizontal(coded, coded.replace("32632", "32633")) and not crs.same_horizontal(one, None) and not crs.same_horizontal('GEOGCS["w",UNIT["degree",0.017]]', one)
+
+
+def test_octree_nodes(spark, tmp_path):
+    """Two pages, one of them behind a reference; a window leaves out cubes and pages beside it."""
+    entry = lambda level, x, y, z, at, size, n: struct.pack("<4iQ2i", level, x, y, z, at, size, n)
+    start = 375 + 54 + 160
+    deep = entry(2, 3, 3, 0, 2000, 40, 5) + entry(2, 2, 3, 1, 2040, 40, 6)
+    root = entry(0, 0, 0, 0, 1000, 100, 10) + entry(1, 0, 0, 0, 1100, 100, 20) + entry(1, 1, 0, 0, 0, 0, 0) + entry(1, 1, 1, 0, start + 128, len(deep), -1)
+    h = bytearray(375)
+    h[:4], h[24], h[25] = b"LASF", 1, 4
+    struct.pack_into("<6d", h, 179, 8, 0, 8, 0, 8, 0)
+    struct.pack_into("<Q", h, 247, 41)
+    info = struct.pack("<H16sHH32s", 0, b"copc", 1, 160, b"") + struct.pack("<5d2Q2d", 4, 4, 4, 4, 0.1, start, len(root), 0, 0) + bytes(88)
+    path = str(tmp_path / "a.copc.laz")
+    (tmp_path / "a.copc.laz").write_bytes(bytes(h) + info + root + deep)
+    assert copc.is_copc(bytes(h) + info) and not copc.is_copc(bytes(h) + bytes(60)) and not copc.is_copc(b"LASF")
+    rows = {(r.level, r.x, r.y, r.z): (r.points, r.offset, r.xmin, r.size) for r in copc.copc_nodes(spark, path).collect()}
+    assert rows == {(0, 0, 0, 0): (10, 1000, 0.0, 8.0), (1, 0, 0, 0): (20, 1100, 0.0, 4.0), (2, 3, 3, 0): (5, 2000, 6.0, 2.0), (2, 2, 3, 1): (6, 2040, 4.0, 2.0)}
+    assert {(r.level, r.x) for r in copc.copc_nodes(spark, path, (0.0, 0.0, 1.0, 1.0)).collect()} == {(0, 0), (1, 0)}
+    assert copc.copc_nodes(spark, path, (6.5, 6.5, 9.0, 9.0)).count() == 2 and copc.copc_info(spark, path)["points"] == 41
+    struct.pack_into("<Q", h, 247, 42)
+    (tmp_path / "b.laz").write_bytes(bytes(h) + info + root + deep)
+    (tmp_path / "c.laz").write_bytes(bytes(h) + info + root)
+    (tmp_path / "d.laz").write_bytes(bytes(h))
+    for bad in "bcd":
+        with pytest.raises(ConfigError):
+            copc.copc_nodes(spark, f"{tmp_path}/{bad}.laz")
+
+
 def test_las(spark, tmp_path):
     from understory.sources.las import LasSource, header_table
 

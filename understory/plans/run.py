@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import crs
 from ..functions.scalar import polygons_area, utm_to_wgs84
 from ..model import Config, ConfigError, SegmentationSpec, parse_args
 from ..operators.features import add_geometry
@@ -75,16 +76,27 @@ def inventory_from_points(points: DataFrame, cfg: Config, dtm: DataFrame | None
     return inv, stand_summary(inv, stand_area(points, cfg))
 
 
+def input_stamp(spark: SparkSession, path: str) -> tuple:
+    """Number, bytes and a hash of names, lengths and times of a path's files; no content is read."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")
+    return tuple(f.agg(F.count("*"), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
 def run(spark: SparkSession, args: list[str], epsg: int | None = None) -> str:
     """Command-line style: options to a published folder of tables and a manifest: the inventory and the summary, the
     terrain if the run made it, the segmented cloud with the segmentation, and with --debug-outputs the effective seeds
     and a record of the run."""
     paths, cfg = parse_args(args)
+    before = input_stamp(spark, paths["input"])
     fmt = "las" if paths["input"].lower().endswith(".las") else "parquet"
     if fmt == "las":
-        from ..sources.las import LasSource
+        from ..sources.las import LasSource, read_header, resolve
 
         spark.dataSource.register(LasSource)
+        systems = [w for w in (read_header(p)["wkt"] for p in resolve(paths["input"])) if w]
+        if any(not crs.same_horizontal(crs.require_metric(w), systems[0]) for w in systems):
+            raise ConfigError("the files differ in their coordinate system")
+        epsg = epsg or (crs.epsg(systems[0]) if systems else None)
     if cfg.enable_csp:  # the segmented cloud keeps every attribute
         every = spark.read.format(fmt).load(paths["input"])
         if "PredInstance_CSP" in every.columns:
@@ -97,9 +109,10 @@ def run(spark: SparkSession, args: list[str], epsg: int | None = None) -> str:
     dtm = read_dtm(spark, paths["dtm"], points, cfg.dtm_resolution) if "dtm" in paths else None
     made: dict = {}
     inv, summary = inventory_from_points(points, cfg, dtm, read_seeds(spark, paths["seed-file"]) if "seed-file" in paths else None, made)
-    if epsg:
+    if epsg and (32601 <= epsg <= 32660 or 32701 <= epsg <= 32760):
         lon, lat = utm_to_wgs84(F.col("x"), F.col("y"), epsg)
         inv = inv.withColumns({"longitude": lon, "latitude": lat})
+    if epsg:
         summary = summary.withColumn("crs", F.lit(f"EPSG:{epsg}"))
     if "species-lookup" in paths:
         inv = with_species_names(inv, read_lookup(spark, paths["species-lookup"]))
@@ -122,6 +135,8 @@ def run(spark: SparkSession, args: list[str], epsg: int | None = None) -> str:
         output.write_json(spark, f"{staged}/run.json", {"options": {k: v for k, v in vars(cfg).items() if k not in ("specs", "aoi")}, "paths": paths, "segmentations": [s.instance for s in cfg.specs], "terrain_supplied": dtm is not None, "points": points.count(), "trees": inv.count()})
     m = output.manifest(spark, tables, f"EPSG:{epsg}" if epsg else None)
     output.check_manifest(spark, m, staged)
+    if input_stamp(spark, paths["input"]) != before:
+        raise ConfigError("the input changed during the run; nothing is published")
     output.write_json(spark, f"{staged}/manifest.json", m)
     output.publish(spark, staged, target)
     return target
