@@ -9,13 +9,17 @@ Two rounds. The first takes cells until they hold ``first_entries`` entries, whi
 beat. The second goes on through the heap until the summed bound can't reach that score. So the search stops early
 where the data have structure, and is exact in any case: the recall is 1.
 
-Entries stand in parts of at most ``PART_BYTES``: small cells share a part, a large cell has several. The queries that
-need a part come to it in blocks of about ``QUERIES``, each with the cells it wants, and a block of queries meets a cell
-in one matrix product. Of equal vectors the k + 1 smallest ids are kept, as no result can use more of them.
+Entries stand in parts of at most ``PART_BYTES``: small cells share a part, a large cell has several. A part is shuffled
+once; the queries that need it come to it behind its entries, in batches, each with the cells it wants, and a batch meets
+a cell in one matrix product. So a task holds one part and one batch, however many queries there are, and each query is
+sent to each part that it needs, once. The second round gives only entries that reach the score to beat.
+
+Of equal vectors a part keeps the k + 1 smallest ids, as no result can use more of them.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take
-no part; a query never finds its own row; ties go to the smaller id; with fewer candidates than k all are given; an
-empty table gives an empty table; only the two named columns are read.
+no part; a query never finds its own row; ties go to the smaller id; with fewer candidates than k all are given;
+repeated rows of one id and vector count once; an empty table gives an empty table; only the two named columns are read,
+whatever others there are.
 """
 
 from __future__ import annotations
@@ -29,10 +33,10 @@ from pyspark.sql import functions as F
 
 from .common import Saved, table
 
-#: Vectors for the codebooks, queries of a block, entries of the first round, salts of equal vectors.
-SAMPLE, QUERIES, FIRST, SALTS = 10_000, 512, 2_000, 64
-#: Bytes of a part's vectors; entries scored in one product; parts up to which their query counts go to all tasks.
-PART_BYTES, CHUNK, SEND = 32 << 20, 4_096, 1_000_000
+#: Vectors for the codebooks, entries of the first round.
+SAMPLE, FIRST = 10_000, 2_000
+#: Bytes of a part's vectors at most and at least; entries and queries scored in one product.
+PART_BYTES, LEAST_BYTES, CHUNK, BATCH = 32 << 20, 1 << 20, 4_096, 512
 
 
 def codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -82,6 +86,24 @@ def _parts(counts: dict[int, int], room: int) -> tuple[dict[int, tuple[int, int]
     return out, n + (used > 0)
 
 
+def _load(pieces: list[pa.RecordBatch], d: int, kind, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Vectors, ids and cells of a part, of equal vectors the k + 1 smallest ids; each row of a repeated id once."""
+    if not pieces:
+        return None
+    t = pa.Table.from_batches(pieces)
+    raw = b"".join(t["v"].to_pylist())
+    ids, cell = t["id"].to_numpy(), t["cell"].to_numpy()
+    _, same = np.unique(np.frombuffer(raw, np.dtype((np.void, d * np.dtype(kind).itemsize))), return_inverse=True)
+    turn = np.lexsort((ids, same))
+    s, i = same[turn], ids[turn]
+    turn = turn[np.concatenate([[True], (s[1:] != s[:-1]) | (i[1:] != i[:-1])])]
+    s = same[turn]
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    place = np.arange(len(s)) - np.repeat(first, np.diff(np.concatenate([first, [len(s)]])))
+    turn = np.sort(turn[place <= k])
+    return np.frombuffer(raw, kind).reshape(-1, d)[turn].astype(np.float64), ids[turn], cell[turn]
+
+
 def nearest(q: np.ndarray, qids: np.ndarray, wanted: list[list[int]], e: np.ndarray, ids: np.ndarray, cell: np.ndarray, k: int):
     """(query's place, entry's place, score) of the k best entries for each query among the cells it wants."""
     width = 2 * k + 1  # k, as many ties at the edge as equal vectors there can be, and the query itself
@@ -138,10 +160,6 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     x = x[np.lexsort(x.T)]
     h = d // 2
     c1, c2 = codebook(x[:, :h], size), codebook(x[:, h:], size)
-    # of equal vectors the k + 1 smallest ids; in two steps, as one vector may be a third of all
-    small = Window.partitionBy("v", "_salt").orderBy("id")
-    few = every.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).withColumn("_r", F.dense_rank().over(small)).where(F.col("_r") <= k + 1)
-    once = few.groupBy("v").agg(F.collect_set("id").alias("ids")).select("v", F.explode(F.slice(F.array_sort("ids"), 1, k + 1)).alias("id"))
     single = dict(vectors.select(vec_col).dtypes)[vec_col] == "array<float>"
     kind = np.float32 if single else np.float64  # as stored: nothing is rounded
 
@@ -152,18 +170,24 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
                 (j1, r1), (j2, r2) = assign(x[:, :h], c1), assign(x[:, h:], c2)
                 yield pa.RecordBatch.from_arrays([pa.array(j1 * len(c2) + j2, pa.int32()), pa.array(r1), pa.array(r2), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()), b.column(1)], ["cell", "r1", "r2", "v", "id"])
 
-    index = saved(once.mapInArrow(place, "cell int, r1 double, r2 double, v binary, id bigint"))
+    index = saved(every.select("v", "id").mapInArrow(place, "cell int, r1 double, r2 double, v binary, id bigint"))
     stats = index.groupBy("cell").agg(F.count("*").alias("n"), F.max("r1").alias("r1"), F.max("r2").alias("r2")).collect()  # cells: size^2 at most
     counts = {r.cell: r.n for r in stats}
     w = len(c2)
     rad1, rad2 = np.zeros(len(c1)), np.zeros(w)
     for r in stats:
         rad1[r.cell // w], rad2[r.cell % w] = max(rad1[r.cell // w], r.r1), max(rad2[r.cell % w], r.r2)
-    parts, n_parts = _parts(counts, max(1, PART_BYTES // (8 * d)))
-    where = spark.createDataFrame([(c, *p) for c, p in parts.items()], "cell int, start int, parts int")
-    entries = index.join(F.broadcast(where), "cell").select((F.col("start") + F.pmod(F.xxhash64("v", "id"), F.col("parts"))).cast("int").alias("part"), "cell", "v", "id")
+    tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts, _ = _parts(counts, max(1, min(PART_BYTES, max(LEAST_BYTES, 8 * d * n // tasks)) // (8 * d)))
+    where = spark.createDataFrame([(c, *p) for c, p in parts.items()], "cell int, start int, parts int")  # a row for each cell
+    entries = index.join(F.broadcast(where), "cell").select((F.col("start") + F.pmod(F.xxhash64("v", "id"), F.col("parts"))).cast("int").alias("part"), F.lit(False).alias("asks"), "id", "cell", "v", F.lit(None).cast("array<int>").alias("cells"), F.lit(None).cast("double").alias("beat"))
     queries = every.where(is_query).select(F.col("id").alias("qid"), "v").dropDuplicates(["qid", "v"])
 
+    row = "part int, asks boolean, id bigint, cell int, v binary, cells array<int>, beat double"
+
+    def asked(part, qid, vec, wanted, beat):
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([True] * len(part), pa.bool_()), pa.array(qid, pa.int64()), pa.nulls(len(part), pa.int32()), pa.array(vec, pa.binary()), pa.array(wanted, pa.list_(pa.int32())), pa.array(beat, pa.float64())], [f.split()[0] for f in row.split(", ")])
+
     def probes(first: bool):
         def run(batches):
             for b in batches:
@@ -174,7 +198,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
                 u1 = q1 @ c1.T + np.sqrt((q1 * q1).sum(1))[:, None] * rad1[None, :]
                 u2 = q2 @ c2.T + np.sqrt((q2 * q2).sum(1))[:, None] * rad2[None, :]
                 beat = None if first else b.column(2).to_pylist()
-                qid, part, wanted, vec = [], [], [], []
+                rows: list[list] = [[], [], [], [], []]
                 for i, query in enumerate(b.column(0).to_pylist()):
                     got, mine = 0, {}
                     for c, bound in traverse(u1[i], u2[i], counts, w):
@@ -185,41 +209,60 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
                             for p in range(start, start + m):
                                 mine.setdefault(p, []).append(c)
                         got += counts[c]
-                    qid += [query] * len(mine)
-                    vec += [q[i].tobytes()] * len(mine)
-                    part += mine.keys()
-                    wanted += mine.values()
-                yield pa.RecordBatch.from_arrays([pa.array(qid, pa.int64()), pa.array(part, pa.int32()), pa.array(wanted, pa.list_(pa.int32())), pa.array(vec, pa.binary())], ["qid", "part", "cells", "q"])
+                    own = q[i].tobytes()
+                    for x, y in zip(rows, (mine.keys(), [query] * len(mine), [own] * len(mine), mine.values(), [None if first else beat[i]] * len(mine))):
+                        x += y
+                    if len(rows[0]) >= CHUNK:
+                        yield asked(*rows)
+                        rows = [[], [], [], [], []]
+                yield asked(*rows)
 
         return run
 
-    def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The k best entries of a part for each query of a block of queries."""
-        qids, ids = left["qid"].to_numpy(), right["id"].to_numpy()
-        i, j, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        if len(qids) and len(ids):
-            q = np.frombuffer(b"".join(left["q"].to_pylist()), np.float64).reshape(-1, d)
-            e = np.frombuffer(b"".join(right["v"].to_pylist()), kind).reshape(-1, d).astype(np.float64)
-            i, j, s = nearest(q, qids, left["cells"].to_pylist(), e, ids, right["cell"].to_numpy(), k)
-        return pa.table([pa.array(qids[i], pa.int64()), pa.array(ids[j], pa.int64()), pa.array(s, pa.float64())], ["qid", "vec_id", "score"])
-
-    def found(todo: DataFrame) -> DataFrame:
-        todo = saved(todo)
-        blocks = todo.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
-        blocks = F.broadcast(blocks) if n_parts <= SEND else blocks
-        asked = todo.join(blocks, "part").select("part", F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int").alias("block"), "qid", "cells", "q")
-        dealt = entries.join(blocks, "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "cell", "v", "id")
-        return asked.groupBy("part", "block").cogroup(dealt.groupBy("part", "block")).applyInArrow(rerank, "qid long, vec_id long, score double")
+    def rerank(batches):
+        """Sorted by part, entries before queries: the k best entries of a part for each query that asks it."""
+
+        def answers(part, asked):
+            q = np.frombuffer(b"".join(asked.column("v").to_pylist()), np.float64).reshape(-1, d)
+            ids = asked.column("id").to_numpy()
+            i, j, s = nearest(q, ids, asked.column("cells").to_pylist(), *part, k)
+            beat = asked.column("beat").to_numpy(zero_copy_only=False).astype(float)[i]
+            on = ~(s < beat)
+            return pa.RecordBatch.from_arrays([pa.array(ids[i[on]], pa.int64()), pa.array(part[1][j[on]], pa.int64()), pa.array(s[on], pa.float64())], ["qid", "vec_id", "score"])
+
+        now, held, part = None, [], None
+        for b in batches:
+            number, asks = b.column("part").to_numpy(), b.column("asks").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((number[1:] != number[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+                if hi == lo:
+                    continue
+                piece = b.slice(lo, hi - lo)
+                if number[lo] != now:
+                    now, held, part = number[lo], [], None
+                if not asks[lo]:
+                    held.append(piece.select(["id", "cell", "v"]))
+                    continue
+                if part is None:
+                    part = _load(held, d, kind, k)
+                    held = []
+                if part is not None:
+                    for at in range(0, piece.num_rows, BATCH):
+                        yield answers(part, piece.slice(at, BATCH))
+
+    def found(asked: DataFrame) -> DataFrame:
+        both = entries.unionByName(asked).repartition("part").sortWithinPartitions("part", "asks")
+        return both.mapInArrow(rerank, "qid long, vec_id long, score double")
 
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
 
     def top(df: DataFrame) -> DataFrame:
         return df.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
-    one = saved(top(found(queries.mapInArrow(probes(True), "qid long, part int, cells array<int>, q binary"))))
+    one = saved(top(found(queries.mapInArrow(probes(True), row))))
     beat = one.where(F.col("rank") == k).select(F.col("qid").alias("_q"), F.col("score").alias("beat"))
     rest = queries.join(beat, queries["qid"] == beat["_q"], "left").select("qid", "v", "beat")
-    two = found(rest.mapInArrow(probes(False), "qid long, part int, cells array<int>, q binary"))
+    two = found(rest.mapInArrow(probes(False), row))
     out = top(one.select("qid", "vec_id", "score").unionByName(two))
     return out.select(F.col("qid").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
