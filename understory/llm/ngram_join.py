@@ -6,7 +6,8 @@ rare first, by a count sketch over all documents (fixed size, summed over the ta
 first common token lies among the first |a| - o + 1 tokens of a and the first |b| - o + 1 of b.
 
 * If it is rare, the index of single rare tokens of these prefixes brings a and b together.
-* If it is frequent, so are all common tokens after it. Prefixes extended to |a| - o + k tokens hold k common tokens, all
+* If it is frequent, so are all common tokens after it, and all rare tokens of a set stand before it: sets with too many
+  rare tokens of their own are out. Prefixes extended to |a| - o + k tokens hold k common tokens, all
   frequent. They are dealt by hash into k - 1 classes, so two of them meet in one class: the index of pairs of frequent
   tokens of a class brings a and b together. k follows from the size's power of two; a set near such a power is indexed
   for both. A prefix of L tokens so has about L * L / 2k pairs, a few for each token, and not L * L / 2.
@@ -122,8 +123,9 @@ def extension(c: int, percent: int) -> int:
 def combinations(order: np.ndarray, frequent: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """(key, place) of the pairs of frequent tokens. order: the set rare first; frequent: which of it are.
 
-    The place is the second token's, less what the prefix was extended by: at most n - o for a pair that links."""
-    n, out = len(order), []
+    The place is at most n - o for a pair that links and has no rare token in common (the single tokens find the others):
+    its first common token stands behind all rare ones, and the second of the key at most k - 1 places further."""
+    n, out, rare = len(order), [], int(len(order) - frequent.sum())
     least = -(-percent * n // 100)
     for c in {size_class(n), size_class(max(1, least))}:
         k = extension(c, percent)
@@ -143,7 +145,7 @@ def combinations(order: np.ndarray, frequent: np.ndarray, percent: int) -> list[
                 x, y = np.minimum(x, y), np.maximum(x, y)
                 key = (((x ^ (x >> _S29)) * _MUL[0] + y) ^ np.uint64(c)) * _MUL[1]
                 key ^= key >> _S32
-                out += zip(key.view(np.int64).tolist(), np.maximum(0, at[lo + j] - (k - 1)).tolist())
+                out += zip(key.view(np.int64).tolist(), np.maximum(rare, at[lo + j] - (k - 1)).tolist())
     return out
 
 
@@ -247,7 +249,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     single = saved(blocks.mapInArrow(_merge_buckets, ", ".join(f"{c} bigint" for c in row)))
     # pairs of tokens: the same by SQL, as one pair may be in a great share of all nodes
     combos = index.where("bucket is null").select("t", "k", "place")
-    centres = combos.groupBy("t").agg(F.max(F.struct(F.expr(f"shiftright(place, {BITS})").alias("high"), "k")).alias("c"), F.min("k").alias("_least"), F.max("k").alias("_most")).where("_least <> _most").select(F.col("t").alias("_t"), F.col("c.k").alias("ck"), F.expr(f"shiftleft(c.high, {BITS})").alias("cplace"))
+    centres = combos.groupBy("t").agg(F.max(F.struct(F.expr(f"shiftright(place, {BITS})").alias("high"), "k", "place")).alias("c"), F.min("k").alias("_least"), F.max("k").alias("_most")).where("_least <> _most").select(F.col("t").alias("_t"), F.col("c.k").alias("ck"), F.col("c.place").alias("cplace"))
     centres = saved(centres)
     several = combos.join(sendable(centres), F.col("t") == F.col("_t")).select(*row)
     shared = single.withColumn("pair", F.lit(False)).unionByName(saved(several).withColumn("pair", F.lit(True)))
@@ -255,7 +257,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     saved.drop(index, centres)
 
     # round 1: each node against the centres of its keys
-    near = f"100 * least(n, cn) >= {percent} * greatest(n, cn) and k <> ck"
+    o = f"((({percent} * (n + cn)) + {99 + percent}) div {100 + percent})"
+    near = f"k <> ck and 100 * least(n, cn) >= {percent} * greatest(n, cn) and pos <= n - {o} and cpos <= cn - {o}"
     tried = saved(shared.where(near).groupBy(F.col("k").alias("a"), F.col("ck").alias("b")).agg(F.max("n").alias("n"), F.max("cn").alias("m"), F.max("pair").alias("pair")))
     links = saved(_verify(docs, nodes_of, tried, words, percent, saved))
     roots = components(links, saved)
